@@ -32,8 +32,22 @@ class LazyTables(Mapping[str, DataFrame]):
         return len(self._builders)
 
 
+# The columns that are read; a declared schema spares a pass over the file footers.
+STAR = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_orderdate TIMESTAMP_NTZ",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_returnflag STRING",
+    "events": "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE",
+}
+
+
 def star_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(STAR[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _title() -> Column:
@@ -168,61 +182,63 @@ def legacy_tables(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
     )
 
 
-def library_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def library_tables(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
     """The normalised tables: parts are books, suppliers authors, nations branches and categories."""
-    star = {n: star_table(spark, folder, n) for n in ("part", "customer", "orders", "lineitem", "supplier", "events")}
-    part, lines, supplier = star["part"], star["lineitem"], star["supplier"]
-    places = _places(spark, folder)
+
+    def star(name: str) -> DataFrame:
+        return star_table(spark, folder, name)
+
     key = F.col("p_partkey")
     brand = F.split_part(F.col("p_brand"), F.lit("#"), F.lit(2)).cast("bigint")
-    supplied = lines.select("l_partkey", "l_suppkey").distinct()
-    return {
-        "editoriales": part.select(brand.alias("id_editorial"), F.col("p_brand").alias("nombre")).distinct(),
-        "libros": part.select(
-            key.cast("bigint").alias("id_libro"),
-            _title().alias("titulo"),
-            F.make_date(F.lit(2000) + (key % 25).cast("int"), (key % 12 + 1).cast("int"), (key % 28 + 1).cast("int")).alias(
-                "fecha_publicacion"
+    published = F.make_date(F.lit(2000) + (key % 25).cast("int"), (key % 12 + 1).cast("int"), (key % 28 + 1).cast("int"))
+    book, loan = F.col("l_partkey").alias("id_libro"), F.col("l_orderkey").alias("id_prestamo")
+
+    def places(id_column: str, name: str, text: str) -> DataFrame:
+        return _places(spark, folder).select(
+            F.col("n_nationkey").cast("bigint").alias(id_column), F.col("n_name").alias(name), F.col("address").alias(text)
+        )
+
+    def book_categories() -> DataFrame:
+        # Distinct by supplier first: it leaves less to join and a hot part is reduced map-side.
+        supplied = star("lineitem").select("l_partkey", "l_suppkey").distinct()
+        nations = supplied.join(star("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        return nations.select(book, F.col("s_nationkey").cast("bigint").alias("id_categoria")).distinct()
+
+    return LazyTables(
+        {
+            "editoriales": lambda: star("part").select(brand.alias("id_editorial"), F.col("p_brand").alias("nombre")).distinct(),
+            "libros": lambda: star("part").select(
+                key.alias("id_libro"),
+                _title().alias("titulo"),
+                published.alias("fecha_publicacion"),
+                brand.alias("id_editorial"),
             ),
-            brand.alias("id_editorial"),
-        ),
-        "autores": supplier.select(F.col("s_suppkey").alias("id_autor"), F.col("s_name").alias("nombre")),
-        "libro_autor": supplied.select(F.col("l_partkey").alias("id_libro"), F.col("l_suppkey").alias("id_autor")),
-        "categorias": places.select(
-            F.col("n_nationkey").cast("bigint").alias("id_categoria"),
-            F.col("n_name").alias("nombre"),
-            F.col("address").alias("descripcion"),
-        ),
-        "libro_categoria": supplied.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .select(F.col("l_partkey").alias("id_libro"), F.col("s_nationkey").cast("bigint").alias("id_categoria"))
-        .distinct(),
-        "usuarios": star["customer"].select(
-            F.col("c_custkey").alias("id_usuario"), F.col("c_name").alias("nombre"), _mail().alias("correo")
-        ),
-        "prestamos": star["orders"].select(
-            F.col("o_orderkey").alias("id_prestamo"),
-            F.col("o_custkey").alias("id_usuario"),
-            F.col("o_orderdate").cast("date").alias("fecha_salida"),
-            _status().alias("estado"),
-        ),
-        "prestamo_libro": lines.select(
-            F.col("l_orderkey").alias("id_prestamo"), F.col("l_partkey").alias("id_libro")
-        ).distinct(),
-        "sedes": places.select(
-            F.col("n_nationkey").cast("bigint").alias("id_sede"),
-            F.col("n_name").alias("nombre"),
-            F.col("address").alias("ubicacion"),
-        ),
-        "inventario": _stock(spark, folder).select(
-            F.col("s_nationkey").cast("bigint").alias("id_sede"),
-            F.col("l_partkey").alias("id_libro"),
-            F.when(F.col("l_partkey") % 37 != 0, F.col("q")).alias("cantidad"),
-        ),
-        "resenas": _with_part_key(star["events"], part).select(
-            F.col("event_id").alias("id_resena"),
-            F.col("user_id").alias("id_usuario"),
-            F.col("key").alias("id_libro"),
-            F.col("event_type").alias("comentario"),
-            F.when(F.col("event_id") % 101 != 0, _rating()).alias("calificacion"),
-        ),
-    }
+            "autores": lambda: star("supplier").select(F.col("s_suppkey").alias("id_autor"), F.col("s_name").alias("nombre")),
+            "libro_autor": lambda: star("lineitem").select(book, F.col("l_suppkey").alias("id_autor")).distinct(),
+            "categorias": lambda: places("id_categoria", "nombre", "descripcion"),
+            "libro_categoria": book_categories,
+            "usuarios": lambda: star("customer").select(
+                F.col("c_custkey").alias("id_usuario"), F.col("c_name").alias("nombre"), _mail().alias("correo")
+            ),
+            "prestamos": lambda: star("orders").select(
+                F.col("o_orderkey").alias("id_prestamo"),
+                F.col("o_custkey").alias("id_usuario"),
+                F.col("o_orderdate").cast("date").alias("fecha_salida"),
+                _status().alias("estado"),
+            ),
+            "prestamo_libro": lambda: star("lineitem").select(loan, book).distinct(),
+            "sedes": lambda: places("id_sede", "nombre", "ubicacion"),
+            "inventario": lambda: _stock(spark, folder).select(
+                F.col("s_nationkey").cast("bigint").alias("id_sede"),
+                book,
+                F.when(F.col("l_partkey") % 37 != 0, F.col("q")).alias("cantidad"),
+            ),
+            "resenas": lambda: _with_part_key(star("events"), star("part")).select(
+                F.col("event_id").alias("id_resena"),
+                F.col("user_id").alias("id_usuario"),
+                F.col("key").alias("id_libro"),
+                F.col("event_type").alias("comentario"),
+                F.when(F.col("event_id") % 101 != 0, _rating()).alias("calificacion"),
+            ),
+        }
+    )
