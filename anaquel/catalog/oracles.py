@@ -163,23 +163,27 @@ TABLES = {
                CAST(split_part(p_brand, '#', 2) AS BIGINT) AS id_editorial
         FROM part""",
     "m_autores": "SELECT s_suppkey AS id_autor, s_name AS nombre FROM supplier",
-    "m_libro_autor": "SELECT DISTINCT l_partkey AS id_libro, l_suppkey AS id_autor FROM lineitem",
+    "m_libro_autor": """
+        SELECT DISTINCT l_partkey AS id_libro, l_suppkey AS id_autor FROM lineitem
+        WHERE l_partkey IS NOT NULL AND l_suppkey IS NOT NULL""",
     "m_categorias": """
         SELECT CAST(n_nationkey AS BIGINT) AS id_categoria, n_name AS nombre, r_name || ', ' || n_name AS descripcion
         FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "m_libro_categoria": """
         SELECT DISTINCT l_partkey AS id_libro, CAST(s_nationkey AS BIGINT) AS id_categoria
-        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""",
+        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_partkey IS NOT NULL""",
     "m_usuarios": f"SELECT c_custkey AS id_usuario, c_name AS nombre, {MAIL_OF} AS correo FROM customer",
     "m_prestamos": f"""
         SELECT o_orderkey AS id_prestamo, o_custkey AS id_usuario, CAST(o_orderdate AS DATE) AS fecha_salida,
                {STATUS} AS estado FROM orders""",
-    "m_prestamo_libro": "SELECT DISTINCT l_orderkey AS id_prestamo, l_partkey AS id_libro FROM lineitem",
+    "m_prestamo_libro": """
+        SELECT DISTINCT l_orderkey AS id_prestamo, l_partkey AS id_libro FROM lineitem
+        WHERE l_orderkey IS NOT NULL AND l_partkey IS NOT NULL""",
     "m_sedes": "SELECT id_categoria AS id_sede, nombre, descripcion AS ubicacion FROM m_categorias",
     "m_inventario": """
         SELECT CAST(s_nationkey AS BIGINT) AS id_sede, l_partkey AS id_libro,
                CASE WHEN l_partkey % 37 <> 0 THEN CAST(sum(l_quantity) AS INTEGER) END AS cantidad
-        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY s_nationkey, l_partkey""",
+        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_partkey IS NOT NULL GROUP BY s_nationkey, l_partkey""",
     "m_resenas": f"""
         SELECT event_id AS id_resena, user_id AS id_usuario, event_id % (SELECT count(*) FROM part) AS id_libro,
                event_type AS comentario, CASE WHEN event_id % 101 <> 0 THEN {RATING} END AS calificacion FROM events""",

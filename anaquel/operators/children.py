@@ -29,15 +29,16 @@ def collect_children(
     """
     lists = F.sort_array(F.collect_list(element)).alias(list_column)
     counts = (links if counted is None else counted).groupBy(parent).agg(F.count(F.lit(1)).alias("_n"))
+    most = counts.agg(F.max("_n")).first()[0] or 0
+    if most <= max_list:
+        whole = links.groupBy(parent).agg(lists)
+        return whole.select(parent, F.lit(0).alias("parte"), list_column), False
     hot = stage(
         counts.filter(F.col("_n") > max_list).select(
             F.col(parent), F.ceil(F.col("_n") / F.lit(max_list)).cast("int").alias("_parts")
         ),
         "hot_parents",
     )
-    if hot.isEmpty():
-        whole = links.groupBy(parent).agg(lists)
-        return whole.select(parent, F.lit(0).alias("parte"), list_column), False
     part = F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.col(child), F.col("_parts"))).cast("int")
     # The written size of `hot` decides whether it is broadcast; the rows then move once, by part.
     parted = links.join(hot, parent, "left").withColumn("parte", part).drop("_parts").repartition(parent, "parte")

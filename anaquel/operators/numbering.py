@@ -40,6 +40,8 @@ def number_rows(df: DataFrame, order: list[str], id_column: str, copies: str | N
     )
     staged = stage(placed, f"numbered_{id_column}")
     partition = F.shiftright("_place", POSITION_BITS)
+    if copies is None and len(staged.inputFiles()) <= 1:
+        return staged.withColumn(id_column, F.col("_place").bitwiseAND(F.lit(POSITION_MASK)) + 1).drop("_place")
     weight = F.col(copies) if copies else F.lit(1)
     # One row per partition of the range shuffle.
     sizes = {

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anaquel.operators.children import MAX_LIST, collect_children
+from anaquel.sources.staging import stage
 
 
 class LazyTables(Mapping[str, DataFrame]):
@@ -74,7 +75,7 @@ def _stock(spark: SparkSession, folder: str) -> DataFrame:
     """Quantity per nation and part. Lines are added up by supplier before any join."""
     lines = star_table(spark, folder, "lineitem")
     supplier = star_table(spark, folder, "supplier")
-    by_supplier = lines.groupBy("l_partkey", "l_suppkey").agg(F.sum("l_quantity").alias("q"))
+    by_supplier = lines.dropna(subset=["l_partkey"]).groupBy("l_partkey", "l_suppkey").agg(F.sum("l_quantity").alias("q"))
     return (
         by_supplier.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy("s_nationkey", "l_partkey")
@@ -176,7 +177,8 @@ def legacy_tables(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
         {
             "biblioteca_data": lambda: biblioteca_data(spark, folder),
             "prestamos_crudos": lambda: prestamos_crudos(spark, folder),
-            "inventario_sedes": lambda: inventario_sedes(spark, folder),
+            # Grouped from the lines, and read by two steps of the migration.
+            "inventario_sedes": lambda: stage(inventario_sedes(spark, folder), "inventario_sedes"),
             "resenas_usuarios": lambda: resenas_usuarios(spark, folder),
         }
     )
@@ -193,6 +195,10 @@ def library_tables(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
     published = F.make_date(F.lit(2000) + (key % 25).cast("int"), (key % 12 + 1).cast("int"), (key % 28 + 1).cast("int"))
     book, loan = F.col("l_partkey").alias("id_libro"), F.col("l_orderkey").alias("id_prestamo")
 
+    def line_pairs(*columns: str) -> DataFrame:
+        """Distinct pairs of line keys. A bridge row is a key, so neither side is null."""
+        return star("lineitem").select(*columns).dropna().distinct()
+
     def places(id_column: str, name: str, text: str) -> DataFrame:
         return _places(spark, folder).select(
             F.col("n_nationkey").cast("bigint").alias(id_column), F.col("n_name").alias(name), F.col("address").alias(text)
@@ -200,7 +206,7 @@ def library_tables(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
 
     def book_categories() -> DataFrame:
         # Distinct by supplier first: it leaves less to join and a hot part is reduced map-side.
-        supplied = star("lineitem").select("l_partkey", "l_suppkey").distinct()
+        supplied = line_pairs("l_partkey", "l_suppkey")
         nations = supplied.join(star("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         return nations.select(book, F.col("s_nationkey").cast("bigint").alias("id_categoria")).distinct()
 
@@ -214,7 +220,9 @@ def library_tables(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
                 brand.alias("id_editorial"),
             ),
             "autores": lambda: star("supplier").select(F.col("s_suppkey").alias("id_autor"), F.col("s_name").alias("nombre")),
-            "libro_autor": lambda: star("lineitem").select(book, F.col("l_suppkey").alias("id_autor")).distinct(),
+            "libro_autor": lambda: line_pairs("l_partkey", "l_suppkey").select(
+                book, F.col("l_suppkey").alias("id_autor")
+            ),
             "categorias": lambda: places("id_categoria", "nombre", "descripcion"),
             "libro_categoria": book_categories,
             "usuarios": lambda: star("customer").select(
@@ -226,7 +234,7 @@ def library_tables(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
                 F.col("o_orderdate").cast("date").alias("fecha_salida"),
                 _status().alias("estado"),
             ),
-            "prestamo_libro": lambda: star("lineitem").select(loan, book).distinct(),
+            "prestamo_libro": lambda: line_pairs("l_orderkey", "l_partkey").select(loan, book),
             "sedes": lambda: places("id_sede", "nombre", "ubicacion"),
             "inventario": lambda: _stock(spark, folder).select(
                 F.col("s_nationkey").cast("bigint").alias("id_sede"),
