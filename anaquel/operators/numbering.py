@@ -68,7 +68,7 @@ def _rows_before(sizes: dict[int, int], partition: Column) -> Column:
     for p in range(max(sizes) + 1):
         running.append(f"{total}L")
         total += sizes.get(p, 0)
-    return F.expr(f"array({', '.join(running)})").getItem(partition.cast("int"))
+    return F.expr(f"array({', '.join(running)})")[partition.cast("int")]
 
 
 def _expand_copies(df: DataFrame, id_column: str, copies: str) -> DataFrame:

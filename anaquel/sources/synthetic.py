@@ -17,7 +17,7 @@ def synthetic_legacy(spark: SparkSession, rows: int = 250, seed: int = 0) -> dic
         return F.pmod(F.xxhash64("id", F.lit(seed), F.lit(tag)), F.lit(n)).cast("int")
 
     def pick(values: list[str], tag: str) -> Column:
-        return F.lit(values).getItem(draw(len(values), tag))
+        return F.lit(values)[draw(len(values), tag)]
 
     number = F.col("id").cast("string")
     title = F.concat_ws(" ", pick(WORDS, "t1"), pick(WORDS, "t2"), pick(WORDS, "t3"), number)
