@@ -33,6 +33,15 @@ def _name_part(n: int) -> str:
     return f"trim(split_part(categoria_y_descripcion, '/', {n}))"
 
 
+MAX_LIST = 100_000
+
+
+def _part(parent: str, child: str) -> str:
+    """Which part of the list of ``parent`` an element belongs to: 0, unless the list is very long."""
+    rows = f"count(*) OVER (PARTITION BY {parent})"
+    return f"CASE WHEN {rows} > {MAX_LIST} THEN {child} % CAST(ceil({rows} / {MAX_LIST}.0) AS BIGINT) ELSE 0 END"
+
+
 def _ids(order: str) -> str:
     return "row_number() OVER (ORDER BY " + ", ".join(f"{c} NULLS FIRST" for c in order.split(", ")) + ")"
 
@@ -54,8 +63,10 @@ TABLES = {
                t.titles AS libros_prestados, CAST(o_orderdate AS DATE) AS fecha_salida, {STATUS} AS estado_prestamo
         FROM orders JOIN customer ON o_custkey = c_custkey
         LEFT JOIN (SELECT l_orderkey, string_agg(title, ', ' ORDER BY title) AS titles
-                   FROM (SELECT DISTINCT l_orderkey, {TITLE} AS title FROM lineitem JOIN part ON l_partkey = p_partkey)
-                   GROUP BY l_orderkey) t ON o_orderkey = l_orderkey""",
+                   FROM (SELECT DISTINCT l_orderkey, parte, {TITLE} AS title
+                         FROM (SELECT l_orderkey, l_partkey, {_part('l_orderkey', 'l_partkey')} AS parte FROM lineitem)
+                         JOIN part ON l_partkey = p_partkey)
+                   GROUP BY l_orderkey, parte) t ON o_orderkey = l_orderkey""",
     "lg_inventario": f"""
         SELECT n_name AS sede_nombre, r_name || ', ' || n_name AS ubicacion_sede, {TITLE} AS libro_asociado,
                CAST(sum(l_quantity) AS INTEGER) AS cantidad_total
@@ -187,6 +198,19 @@ TABLES = {
     "m_resenas": f"""
         SELECT event_id AS id_resena, user_id AS id_usuario, event_id % (SELECT count(*) FROM part) AS id_libro,
                event_type AS comentario, CASE WHEN event_id % 101 <> 0 THEN {RATING} END AS calificacion FROM events""",
+    # Lists of the documents, in parts.
+    "lista_autores": f"""
+        SELECT id_libro, parte, string_agg(nombre, ',' ORDER BY nombre) AS nombres
+        FROM (SELECT *, {_part('id_libro', 'id_autor')} AS parte FROM m_libro_autor) JOIN m_autores USING (id_autor)
+        GROUP BY id_libro, parte""",
+    "lista_categorias": f"""
+        SELECT id_libro, parte, string_agg(nombre || '|' || descripcion, ',' ORDER BY nombre, descripcion) AS nombres
+        FROM (SELECT *, {_part('id_libro', 'id_categoria')} AS parte FROM m_libro_categoria)
+        JOIN m_categorias USING (id_categoria) GROUP BY id_libro, parte""",
+    "lista_libros": f"""
+        SELECT id_prestamo, parte, count(*) AS n, string_agg(titulo, ',' ORDER BY titulo) AS titulos
+        FROM (SELECT *, {_part('id_prestamo', 'id_libro')} AS parte FROM m_prestamo_libro) JOIN m_libros USING (id_libro)
+        GROUP BY id_prestamo, parte""",
     # Parts of the results.
     "lineas": """
         SELECT pl.id_prestamo, pl.id_libro, l.titulo, u.nombre AS usuario,
@@ -393,22 +417,21 @@ def _lengths(prefix: str) -> str:
 # -- documents ------------------------------------------------------------------------------------
 
 BOOK_DOCUMENTS = """
-    SELECT l.id_libro AS _id, CAST(0 AS INTEGER) AS parte, l.titulo, CAST(l.fecha_publicacion AS TIMESTAMP) AS fecha,
+    SELECT l.id_libro AS _id, CAST(p.parte AS INTEGER) AS parte, l.titulo, CAST(l.fecha_publicacion AS TIMESTAMP) AS fecha,
            e.nombre AS editorial, coalesce(a.nombres, '') AS autores, coalesce(c.nombres, '') AS categorias
     FROM m_libros l JOIN m_editoriales e USING (id_editorial)
-    LEFT JOIN (SELECT id_libro, string_agg(nombre, ',' ORDER BY nombre) AS nombres
-               FROM m_libro_autor JOIN m_autores USING (id_autor) GROUP BY id_libro) a ON l.id_libro = a.id_libro
-    LEFT JOIN (SELECT id_libro, string_agg(nombre || '|' || descripcion, ',' ORDER BY nombre, descripcion) AS nombres
-               FROM m_libro_categoria JOIN m_categorias USING (id_categoria) GROUP BY id_libro) c
-    ON l.id_libro = c.id_libro"""
+    JOIN (SELECT id_libro, 0 AS parte FROM m_libros UNION SELECT id_libro, parte FROM lista_autores
+          UNION SELECT id_libro, parte FROM lista_categorias) p ON l.id_libro = p.id_libro
+    LEFT JOIN lista_autores a ON l.id_libro = a.id_libro AND p.parte = a.parte
+    LEFT JOIN lista_categorias c ON l.id_libro = c.id_libro AND p.parte = c.parte"""
 
 LOAN_DOCUMENTS = """
-    SELECT p.id_prestamo AS _id, CAST(0 AS INTEGER) AS parte, CAST(p.fecha_salida AS TIMESTAMP) AS fecha, p.estado,
+    SELECT p.id_prestamo AS _id, CAST(x.parte AS INTEGER) AS parte, CAST(p.fecha_salida AS TIMESTAMP) AS fecha, p.estado,
            u.nombre, u.correo, CAST(coalesce(b.n, 0) AS INTEGER) AS n_libros, coalesce(b.titulos, '') AS libros
     FROM m_prestamos p JOIN m_usuarios u USING (id_usuario)
-    LEFT JOIN (SELECT id_prestamo, count(*) AS n, string_agg(titulo, ',' ORDER BY titulo) AS titulos
-               FROM m_prestamo_libro JOIN m_libros USING (id_libro) GROUP BY id_prestamo) b
-    ON p.id_prestamo = b.id_prestamo"""
+    JOIN (SELECT id_prestamo, 0 AS parte FROM m_prestamos UNION SELECT id_prestamo, parte FROM lista_libros) x
+    ON p.id_prestamo = x.id_prestamo
+    LEFT JOIN lista_libros b ON p.id_prestamo = b.id_prestamo AND x.parte = b.parte"""
 
 INVENTORY_DOCUMENTS = """
     SELECT i.cantidad AS stock, s.nombre AS sede, s.ubicacion, l.id_libro, l.titulo
@@ -448,8 +471,8 @@ RETURN_LOANS = """
     FROM m_prestamos"""
 
 UNKNOWN_RETURNS = """
-    SELECT id_prestamo, count(*) AS solicitudes FROM devoluciones
-    WHERE id_prestamo NOT IN (SELECT id_prestamo FROM m_prestamos) GROUP BY id_prestamo"""
+    SELECT id_prestamo, count(*) AS solicitudes FROM devoluciones d
+    WHERE NOT EXISTS (SELECT 1 FROM m_prestamos p WHERE p.id_prestamo = d.id_prestamo) GROUP BY id_prestamo"""
 
 REGISTER_REVIEWS = """
     SELECT secuencia, CASE WHEN resultado = 'aceptado' THEN (SELECT max(id_resena) FROM m_resenas)

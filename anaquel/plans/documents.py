@@ -113,9 +113,8 @@ def count_documents(collections: Mapping[str, DataFrame]) -> DataFrame:
 def write_documents(collections: Mapping[str, DataFrame], folder: str, fmt: str = "json", **options) -> None:
     """Replace the collections. Later parts of long lists go to ``<collection>_partes``."""
     for name, df in collections.items():
-        target = f"{folder.rstrip('/')}/{name}"
         if "parte" not in df.columns:
-            write_collection(df, target, fmt, **options)
+            write_collection(df, folder, name, fmt, **options)
             continue
-        write_collection(df.filter(F.col("parte") == 0).drop("parte"), target, fmt, **options)
-        write_collection(df.filter(F.col("parte") > 0), target + PARTS_SUFFIX, fmt, **options)
+        write_collection(df.filter(F.col("parte") == 0).drop("parte"), folder, name, fmt, **options)
+        write_collection(df.filter(F.col("parte") > 0), folder, name + PARTS_SUFFIX, fmt, **options)

@@ -16,7 +16,9 @@ That keeps copies of a row out of the shuffles and leaves the multiplicity to th
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,7 +94,14 @@ class Migration:
         return self._staged[table]
 
     def tables(self) -> dict[str, DataFrame]:
-        """All twelve tables, written to the shared folder."""
+        """All twelve tables, written to the shared folder.
+
+        Steps that do not need each other are written at the same time, so that small dimensions do
+        not wait for one another.
+        """
+        for group in TOGETHER:
+            with ThreadPoolExecutor(len(group)) as pool:
+                list(pool.map(inheritable_thread_target(self.staged), group))
         return {table: self.staged(table) for table in STEPS}
 
     # -- raw values -----------------------------------------------------------------------------
@@ -330,6 +339,13 @@ STEPS: dict[str, Callable[[Migration], DataFrame]] = {
     "inventario": inventario,
 }
 
+# Groups of steps that need only tables of earlier groups.
+TOGETHER = (
+    ("editoriales", "autores", "categorias", "usuarios", "sedes"),
+    ("libros", "prestamos"),
+    ("libro_autor", "libro_categoria", "prestamo_libro", "resenas", "inventario"),
+)
+
 NUMBERED = {"editoriales", "libros", "autores", "categorias", "usuarios", "prestamos", "resenas", "sedes"}
 
 CONVERSIONS = (

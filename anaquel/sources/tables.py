@@ -50,8 +50,16 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "p
     df.write.format(fmt).options(**options).mode(mode).save(path)
 
 
-def write_collection(df: DataFrame, target: str, fmt: str = "json", **options) -> None:
-    """Replace a document collection. Fields that are null stay present, as null."""
+def write_collection(df: DataFrame, folder: str, name: str, fmt: str = "json", **options) -> None:
+    """Replace the document collection ``name``. Fields that are null stay present, as null.
+
+    Files go to ``folder``/``name``. With ``fmt="mongodb"`` (a connector the session has to bring)
+    ``folder`` is the database.
+    """
+    writer = df.write.format(fmt).mode("overwrite")
+    if fmt == "mongodb":
+        writer.options(database=folder, collection=name, **options).save()
+        return
     if fmt == "json":
         options = {"ignoreNullFields": "false", **options}
-    df.write.format(fmt).options(**options).mode("overwrite").save(target)
+    writer.options(**options).save(f"{folder.rstrip('/')}/{name}")
