@@ -43,31 +43,48 @@ def primary_key_check(df: DataFrame, table: str, key: tuple[str, ...]) -> DataFr
 def foreign_key_report(
     tables: Mapping[str, DataFrame], references: Iterable[Reference] = FOREIGN_KEYS
 ) -> DataFrame:
-    """Per reference: rows with a value, and rows whose value has no parent. Null refers to nothing."""
-    return _union(foreign_key_check(tables[r.child], tables[r.parent], r) for r in references)
+    """Per reference: rows with a value, and rows whose value has no parent. Null refers to nothing.
 
-
-def foreign_key_check(child: DataFrame, parent: DataFrame, reference: Reference) -> DataFrame:
-    # Both sides meet in one grouping instead of a join: a value held by many rows is one row per
-    # map task, and a parent that occurs twice does no harm.
-    column = reference.column
-    used = child.filter(F.col(column).isNotNull()).select(F.col(column), F.lit(1).alias("n"), F.lit(None).alias("known"))
-    known = parent.select(F.col(column), F.lit(0).alias("n"), F.lit(True).alias("known"))
-    return (
-        used.unionByName(known)
-        .groupBy(column)
-        .agg(F.sum("n").alias("n"), F.max("known").alias("known"))
-        .agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("filas"),
-            F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("n"))), F.lit(0)).alias("huerfanas"),
-        )
-        .select(
-            F.lit(reference.child).alias("tabla"),
-            F.lit(column).alias("columna"),
-            F.lit(reference.parent).alias("padre"),
-            "filas",
-            "huerfanas",
+    Every table is read once, for all references from and to it, and all values meet in one grouping
+    instead of a join per reference: a value held by many rows is one row per map task, and a parent
+    that occurs twice does no harm.
+    """
+    references = list(references)
+    used: dict[str, list[int]] = {}
+    known: dict[str, list[int]] = {}
+    for number, reference in enumerate(references):
+        used.setdefault(reference.child, []).append(number)
+        known.setdefault(reference.parent, []).append(number)
+
+    def values(table: str, numbers: list[int], rows: int) -> DataFrame:
+        pairs = [
+            F.struct(F.lit(n).alias("ref"), F.col(references[n].column).cast("bigint").alias("value")) for n in numbers
+        ]
+        parent = F.lit(None if rows else True).cast("boolean")
+        return (
+            tables[table]
+            .select(F.inline(F.array(*pairs)))
+            .filter(F.col("value").isNotNull())
+            .select("ref", "value", F.lit(rows).alias("n"), parent.alias("known"))
         )
+
+    sides = [values(t, numbers, 1) for t, numbers in used.items()]
+    sides += [values(t, numbers, 0) for t, numbers in known.items()]
+    met = _union(sides).groupBy("ref", "value").agg(F.sum("n").alias("n"), F.max("known").alias("known"))
+    totals = met.groupBy("ref").agg(
+        F.sum("n").alias("filas"), F.sum(F.when(F.col("known").isNull(), F.col("n"))).alias("huerfanas")
+    )
+    names = [
+        F.struct(F.lit(n).alias("ref"), *[F.lit(v).alias(k) for k, v in zip(("tabla", "columna", "padre"), reference)])
+        for n, reference in enumerate(references)
+    ]
+    every = totals.sparkSession.range(1).select(F.inline(F.array(*names)))
+    return every.join(totals, "ref", "left").select(
+        "tabla",
+        "columna",
+        "padre",
+        F.coalesce("filas", F.lit(0)).alias("filas"),
+        F.coalesce("huerfanas", F.lit(0)).alias("huerfanas"),
     )
 
 

@@ -14,6 +14,7 @@ from anaquel.plans import documents, elt, load, quality, reports
 from anaquel.plans.mapping import DEFAULT_MAPPING
 from anaquel.plans.rules import DEFAULT_RULES, RuleSet
 from anaquel.schema import AUDIT_LOG
+from anaquel.sources.staging import stage
 from anaquel.sources.tables import write_table
 
 LOG, TABLES, DOCUMENTS, REPORTS, AUDIT = "errores", "normalizada", "documentos", "informes", "log_prestamos"
@@ -29,11 +30,16 @@ def run(
     invalid: str = "abort",
     rules: RuleSet = DEFAULT_RULES,
     mapping: Mapping[str, dict] = DEFAULT_MAPPING,
+    copy_sources: bool = False,
 ) -> DataFrame:
     """Run every stage into ``folder`` and return the number of documents per collection.
 
-    A stage that fails ends the run; no stage works on the leftovers of an earlier run.
+    A stage that fails ends the run; no stage works on the leftovers of an earlier run. The raw
+    tables are read by several steps: ``copy_sources`` reads them once into the shared folder, which
+    is what a remote database wants.
     """
+    if copy_sources:
+        legacy = {name: stage(legacy[name], name) for name in legacy}
     folder = folder.rstrip("/")
     today = F.current_date() if as_of is None else F.lit(as_of)
     now = F.current_timestamp() if run_time is None else F.lit(run_time)

@@ -26,8 +26,10 @@ def test_foreign_keys(spark):
     # One orphan value held by many rows, nulls that refer to nothing, a parent that occurs twice.
     child = spark.createDataFrame([(9,)] * 40 + [(1,)] * 3 + [(2,), (None,), (None,)], "k BIGINT")
     parent = spark.createDataFrame([(1,), (1,), (2,), (3,)], "k BIGINT")
-    row = constraints.foreign_key_check(child, parent, Reference("c", "k", "p")).first()
-    assert (row.filas, row.huerfanas) == (44, 40)
+    references = [Reference("c", "k", "p"), Reference("d", "k", "p"), Reference("empty", "k", "p")]
+    tables = {"c": child, "p": parent, "d": parent, "empty": parent.limit(0)}
+    got = {r.tabla: (r.padre, r.filas, r.huerfanas) for r in constraints.foreign_key_report(tables, references).collect()}
+    assert got == {"c": ("p", 44, 40), "d": ("p", 4, 0), "empty": ("p", 0, 0)}
 
 
 def test_lengths(spark):
