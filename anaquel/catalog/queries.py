@@ -59,6 +59,7 @@ def _legacy_report(spark: SparkSession, folder: str) -> DataFrame:
 
 def _normalised_report(spark: SparkSession, folder: str) -> DataFrame:
     migration = elt.Migration(legacy_tables(spark, folder))
+    migration.prepare("libros", "usuarios", "resenas")
     loaded = {table: migration.staged(table) for table in ("libros", "usuarios", "resenas")}
     return quality.quality_report(loaded, "normalizada")
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from threading import RLock
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
@@ -64,6 +65,8 @@ class Migration:
         self.legacy, self.mode, self.invalid, self.links_per_loan = legacy, mode, invalid, links_per_loan
         self._built: dict[str, DataFrame] = {}
         self._staged: dict[str, DataFrame] = {}
+        # A step is built once, by the first thread that asks; the others wait for it.
+        self._locks = {table: RLock() for table in STEPS}
         if invalid == "abort":
             self._refuse_invalid()
 
@@ -75,9 +78,15 @@ class Migration:
 
     def raw(self, table: str) -> DataFrame:
         """A table with the columns the steps need beside the declared ones."""
-        if table not in self._built:
-            self._built[table] = STEPS[table](self)
-        return self._built[table]
+        with self._locks[table]:
+            if table not in self._built:
+                self._built[table] = STEPS[table](self)
+            return self._built[table]
+
+    def prepare(self, *tables: str) -> None:
+        """Build tables that do not need each other at the same time."""
+        with ThreadPoolExecutor(len(tables)) as pool:
+            list(pool.map(inheritable_thread_target(self.raw), tables))
 
     def table(self, table: str) -> DataFrame:
         """A table with its declared columns."""
@@ -85,24 +94,20 @@ class Migration:
 
     def staged(self, table: str) -> DataFrame:
         """A table written to the shared folder, with multiplicities where a step counts them."""
-        if table not in self._staged:
-            raw = self.raw(table)
-            extra = [MULTIPLICITY] if MULTIPLICITY in raw.columns else []
-            # Numbered tables are read back from a staged table already.
-            narrow = raw.select(*columns(table), *extra)
-            self._staged[table] = narrow if table in NUMBERED else stage(narrow, table)
-        return self._staged[table]
+        with self._locks[table]:
+            if table not in self._staged:
+                raw = self.raw(table)
+                extra = [MULTIPLICITY] if MULTIPLICITY in raw.columns else []
+                # Numbered tables are read back from a staged table already.
+                narrow = raw.select(*columns(table), *extra)
+                self._staged[table] = narrow if table in NUMBERED else stage(narrow, table)
+            return self._staged[table]
 
     def tables(self) -> dict[str, DataFrame]:
-        """All twelve tables, written to the shared folder.
-
-        Steps that do not need each other are written at the same time, so that small dimensions do
-        not wait for one another.
-        """
-        for group in TOGETHER:
-            with ThreadPoolExecutor(len(group)) as pool:
-                list(pool.map(inheritable_thread_target(self.staged), group))
-        return {table: self.staged(table) for table in STEPS}
+        """All twelve tables, written to the shared folder; steps that do not need each other together."""
+        with ThreadPoolExecutor(len(STEPS)) as pool:
+            written = pool.map(inheritable_thread_target(self.staged), STEPS)
+            return dict(zip(STEPS, written))
 
     # -- raw values -----------------------------------------------------------------------------
 
@@ -208,6 +213,7 @@ def _one_book_per_title(m: Migration) -> DataFrame:
 
 
 def libro_autor(m: Migration) -> DataFrame:
+    m.prepare("autores", "libros")
     if m.strict:
         raw = m.legacy["biblioteca_data"].select("id_registro", F.trim("autor_nombre").alias("author"))
         authors = m.raw("autores").select("id_autor", F.col("nombre").alias("author"))
@@ -219,6 +225,7 @@ def libro_autor(m: Migration) -> DataFrame:
 
 
 def libro_categoria(m: Migration) -> DataFrame:
+    m.prepare("categorias", "libros")
     if m.strict:
         raw = m.legacy["biblioteca_data"].select(
             "id_registro", _category(1).alias("nombre"), _category(2).alias("descripcion")
@@ -260,6 +267,7 @@ def prestamos(m: Migration) -> DataFrame:
 
 
 def prestamo_libro(m: Migration) -> DataFrame:
+    m.prepare("prestamos", "libros")
     if m.strict:
         return listed_links(m.raw("prestamos"), _one_book_per_title(m))
     books = m.raw("libros").select(F.count(F.lit(1))).scalar()
@@ -296,6 +304,7 @@ def listed_links(loans: DataFrame, titles: DataFrame) -> DataFrame:
 
 
 def resenas(m: Migration) -> DataFrame:
+    m.prepare("usuarios", "libros")
     reviews = _counted(
         m._convertible("resenas_usuarios"),
         id_usuario=F.col("usuario_id"),
@@ -310,6 +319,7 @@ def resenas(m: Migration) -> DataFrame:
 
 
 def inventario(m: Migration) -> DataFrame:
+    m.prepare("sedes", "libros")
     raw = m.legacy["inventario_sedes"]
     kept = {"branch": F.trim("sede_nombre"), "title": F.trim("libro_asociado"), "cantidad": F.col("cantidad_total")}
     if m.strict:
@@ -339,13 +349,6 @@ STEPS: dict[str, Callable[[Migration], DataFrame]] = {
     "inventario": inventario,
 }
 
-# Groups of steps that need only tables of earlier groups.
-TOGETHER = (
-    ("editoriales", "autores", "categorias", "usuarios", "sedes"),
-    ("libros", "prestamos"),
-    ("libro_autor", "libro_categoria", "prestamo_libro", "resenas", "inventario"),
-)
-
 NUMBERED = {"editoriales", "libros", "autores", "categorias", "usuarios", "prestamos", "resenas", "sedes"}
 
 CONVERSIONS = (

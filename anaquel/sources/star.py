@@ -7,6 +7,7 @@ the twelve normalised tables with the keys the star schema already has.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,11 +21,13 @@ class LazyTables(Mapping[str, DataFrame]):
 
     def __init__(self, builders: Mapping[str, Callable[[], DataFrame]]):
         self._builders, self._built = builders, {}
+        self._locks = {name: Lock() for name in builders}
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._built:
-            self._built[name] = self._builders[name]()
-        return self._built[name]
+        with self._locks[name]:
+            if name not in self._built:
+                self._built[name] = self._builders[name]()
+            return self._built[name]
 
     def __iter__(self) -> Iterator[str]:
         return iter(self._builders)
