@@ -35,7 +35,7 @@ def _library(build: Callable[[Mapping[str, DataFrame]], DataFrame]) -> Query:
 
 
 def _migration(build: Callable[[elt.Migration], DataFrame], mode: str = elt.COMPATIBLE) -> Query:
-    return lambda spark, folder: build(elt.Migration(legacy_tables(spark, folder), mode))
+    return lambda spark, folder: build(elt.Migration(legacy_tables(spark, folder, written=True), mode))
 
 
 def _step(table: str, mode: str = elt.COMPATIBLE) -> Query:

@@ -20,7 +20,7 @@ from concurrent.futures import ThreadPoolExecutor
 from threading import RLock
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anaquel.functions.predicates import strict_date, strict_int
@@ -86,7 +86,7 @@ class Migration:
     def prepare(self, *tables: str) -> None:
         """Build tables that do not need each other at the same time."""
         with ThreadPoolExecutor(len(tables)) as pool:
-            list(pool.map(inheritable_thread_target(self.raw), tables))
+            list(pool.map(inheritable_thread_target(SparkSession.active())(self.raw), tables))
 
     def table(self, table: str) -> DataFrame:
         """A table with its declared columns."""
@@ -106,7 +106,7 @@ class Migration:
     def tables(self) -> dict[str, DataFrame]:
         """All twelve tables, written to the shared folder; steps that do not need each other together."""
         with ThreadPoolExecutor(len(STEPS)) as pool:
-            written = pool.map(inheritable_thread_target(self.staged), STEPS)
+            written = pool.map(inheritable_thread_target(SparkSession.active())(self.staged), STEPS)
             return dict(zip(STEPS, written))
 
     # -- raw values -----------------------------------------------------------------------------

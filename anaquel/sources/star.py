@@ -175,13 +175,19 @@ def resenas_usuarios(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def legacy_tables(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
+def legacy_tables(spark: SparkSession, folder: str, written: bool = False) -> Mapping[str, DataFrame]:
+    """The raw tables. ``written`` loads the stock, which is grouped from the lines, when it is first
+    used; that pays for the migration, where two steps read it."""
+
+    def stock() -> DataFrame:
+        table = inventario_sedes(spark, folder)
+        return stage(table, "inventario_sedes") if written else table
+
     return LazyTables(
         {
             "biblioteca_data": lambda: biblioteca_data(spark, folder),
             "prestamos_crudos": lambda: prestamos_crudos(spark, folder),
-            # Grouped from the lines, and read by two steps of the migration.
-            "inventario_sedes": lambda: stage(inventario_sedes(spark, folder), "inventario_sedes"),
+            "inventario_sedes": stock,
             "resenas_usuarios": lambda: resenas_usuarios(spark, folder),
         }
     )
