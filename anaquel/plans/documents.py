@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from anaquel.operators.children import MAX_LIST, collect_children
 from anaquel.plans.mapping import DEFAULT_MAPPING
 from anaquel.schema import PRIMARY_KEYS, canonical
+from anaquel.session import concurrently
 from anaquel.sources.tables import write_collection
 
 PARTS_SUFFIX = "_partes"
@@ -44,10 +45,10 @@ def build_collection(
         return documents.select(*columns)
 
     key = PRIMARY_KEYS[canonical(table)][0]
-    children, split = {}, False
-    for name, e in lists.items():
-        children[name], several = _children(tables, key, e, f"_list_{name}", max_list)
-        split |= several
+    # Each list first counts its children; the counts of several lists run side by side.
+    built = concurrently(lambda name: _children(tables, key, lists[name], f"_list_{name}", max_list), lists)
+    children = {name: child for name, (child, _) in zip(lists, built)}
+    split = any(several for _, several in built)
     if split:
         documents = _with_parts(documents, key, list(children.values()))
         on = [key, "parte"]
@@ -96,7 +97,8 @@ def build_documents(
     tables: Mapping[str, DataFrame], mapping: Mapping[str, dict] = DEFAULT_MAPPING, max_list: int = MAX_LIST
 ) -> dict[str, DataFrame]:
     """All collections by name."""
-    return {spec["collection"]: build_collection(tables, table, mapping, max_list) for table, spec in mapping.items()}
+    built = concurrently(lambda table: build_collection(tables, table, mapping, max_list), mapping)
+    return {spec["collection"]: df for spec, df in zip(mapping.values(), built)}
 
 
 def count_documents(collections: Mapping[str, DataFrame]) -> DataFrame:

@@ -16,17 +16,16 @@ That keeps copies of a row out of the shuffles and leaves the multiplicity to th
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 from threading import RLock
 
-from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anaquel.functions.predicates import strict_date, strict_int
 from anaquel.operators.constraints import MULTIPLICITY
 from anaquel.operators.numbering import number_rows
 from anaquel.schema import columns
+from anaquel.session import concurrently
 from anaquel.sources.staging import stage
 
 COMPATIBLE, STRICT = "compatible", "strict"
@@ -85,8 +84,7 @@ class Migration:
 
     def prepare(self, *tables: str) -> None:
         """Build tables that do not need each other at the same time."""
-        with ThreadPoolExecutor(len(tables)) as pool:
-            list(pool.map(inheritable_thread_target(SparkSession.active())(self.raw), tables))
+        concurrently(self.raw, tables)
 
     def table(self, table: str) -> DataFrame:
         """A table with its declared columns."""
@@ -105,9 +103,7 @@ class Migration:
 
     def tables(self) -> dict[str, DataFrame]:
         """All twelve tables, written to the shared folder; steps that do not need each other together."""
-        with ThreadPoolExecutor(len(STEPS)) as pool:
-            written = pool.map(inheritable_thread_target(SparkSession.active())(self.staged), STEPS)
-            return dict(zip(STEPS, written))
+        return dict(zip(STEPS, concurrently(self.staged, STEPS)))
 
     # -- raw values -----------------------------------------------------------------------------
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings. Adaptive execution sizes the reduce side, turns joins into broadcasts
@@ -36,3 +40,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def concurrently(function: Callable, items: Iterable) -> list:
+    """``function`` of every item, with the Spark jobs of the items submitted side by side."""
+    items = list(items)
+    target = inheritable_thread_target(SparkSession.active())(function)
+    with ThreadPoolExecutor(max(len(items), 1)) as pool:
+        return list(pool.map(target, items))
