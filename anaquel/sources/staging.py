@@ -7,23 +7,23 @@ same partitions.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``."""
+    """Folder every executor can reach: ``spark.checkpoint.dir``.
+
+    Where the setting is absent (tests, a notebook) it is the session's own checkpoint folder, or a
+    folder beside the tables of the warehouse, which is shared as well.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if context.getCheckpointDir():
-        return context.getCheckpointDir().rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="anaquel-"))
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged")
     return context.getCheckpointDir().rstrip("/")
 
 
