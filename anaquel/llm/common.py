@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import pyarrow as pa
 import regex
@@ -20,8 +22,19 @@ _SAFE = regex.compile(
 PIECE_CHARS = 1 << 16
 
 
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers on this machine import this package from where the driver has it.
+
+    On a cluster the package is installed on the executors or passed with ``--py-files``.
+    """
+    environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    if root not in environment.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, environment.get("PYTHONPATH")]))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table of the corpus. Any path Spark reads is fine."""
+    find_package(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
