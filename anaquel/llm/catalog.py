@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from anaquel.llm.bpe import op7_byte_bpe
+from anaquel.llm.chat import op3_chat_format
 from anaquel.llm.sharding import op8_sharding
 from anaquel.llm.token_count import op1_token_counts
 
-QUERIES = (op1_token_counts, op7_byte_bpe, op8_sharding)
+QUERIES = (op1_token_counts, op3_chat_format, op7_byte_bpe, op8_sharding)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -4,8 +4,8 @@ The walk of Lamping and Veach needs no table: a key draws jumps 0 = j0 < j1 < j2
 generator, and its shard among n is the last jump below n. So one walk up to the largest count gives
 the shard under every count, and with one more shard a key either stays or moves to the new one.
 
-Slots number the rows of a shard from 0 without gaps, in order of the key. The rows are sorted by
-range over many tasks and staged; one count per task and shard gives what precedes a task's rows.
+Slots number the rows of a shard from 0 without gaps, in order of the key, by prefix counts that are
+spread over tasks.
 
 Defined results: a null text has no bytes and checksum 0; a null key has the walk of key 0 and the
 first slots of its shard; repeated rows are rows of their own, on the same shard, in neighbouring slots
@@ -15,11 +15,11 @@ other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anaquel.llm.common import table, text_or_empty
-from anaquel.sources.staging import stage
+from anaquel.llm.prefix import prefix_sums
 
 SHARDS = 8
 # Multiplier of the published generator.
@@ -87,30 +87,10 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id") ->
         F.col(key).alias("doc_id"),
         (F.octet_length(text).cast("bigint") + 1).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.monotonically_increasing_id().alias("position"),
-    )
-    # The position keeps the rows of a frequent key apart, so that a range is never one huge key.
-    order = [F.col("doc_id").asc_nulls_first(), F.col("position").asc()]
-    walked = (
-        rows.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .select("doc_id", "size", "text_crc32", F.monotonically_increasing_id().alias("place"), jumps(F.col("doc_id"), shards + 1).alias("walk"))
-        .select("doc_id", "size", "text_crc32", "place", shard_of(F.col("walk"), shards).alias("shard"), shard_of(F.col("walk"), shards + 1).alias("grown_shard"))
-    )
-    staged = stage(walked, "sharded").withColumn("part", F.shiftright("place", 33))
-    # One row per task of the range shuffle and shard.
-    before = (
-        staged.groupBy("shard", "part")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("before", F.sum("n").over(Window.partitionBy("shard").orderBy("part")) - F.col("n"))
-        .select("shard", "part", "before")
-    )
-    inside = F.row_number().over(Window.partitionBy("part", "shard").orderBy("place")) - 1
-    return (
-        staged.withColumn("inside", inside)
-        .join(before, ["part", "shard"])
-        .select("doc_id", "size", "text_crc32", "shard", (F.col("before") + F.col("inside")).alias("slot"), "grown_shard")
-    )
+        jumps(F.col(key), shards + 1).alias("walk"),
+    ).select("doc_id", "size", "text_crc32", shard_of(F.col("walk"), shards).alias("shard"), shard_of(F.col("walk"), shards + 1).alias("grown_shard"))
+    numbered = prefix_sums(rows, "shard", [F.col("doc_id").asc_nulls_first()], {"slot": F.lit(1).cast("bigint")})
+    return numbered.select("doc_id", "size", "text_crc32", "shard", "slot", "grown_shard")
 
 
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
