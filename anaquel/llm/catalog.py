@@ -10,12 +10,13 @@ import corpus_pipeline
 from anaquel.llm.bpe import op7_byte_bpe
 from anaquel.llm.chat import op3_chat_format
 from anaquel.llm.decontam import op5_decontamination
+from anaquel.llm.lang_id import op2_language_id
 from anaquel.llm.minhash import op9_minhash
 from anaquel.llm.quality import op10_quality
 from anaquel.llm.sharding import op8_sharding
 from anaquel.llm.token_count import op1_token_counts
 
-QUERIES = (op1_token_counts, op3_chat_format, op5_decontamination, op7_byte_bpe, op8_sharding, op9_minhash, op10_quality)
+QUERIES = (op1_token_counts, op2_language_id, op3_chat_format, op5_decontamination, op7_byte_bpe, op8_sharding, op9_minhash, op10_quality)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
