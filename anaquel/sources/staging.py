@@ -27,9 +27,18 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+# Frees the shuffle files of a query when it ends; nothing reads them again once the table is written.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and return the written table."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
