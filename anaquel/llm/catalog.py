@@ -14,10 +14,11 @@ from anaquel.llm.lang_id import op2_language_id
 from anaquel.llm.lm_score import op4_lm_score
 from anaquel.llm.minhash import op9_minhash
 from anaquel.llm.quality import op10_quality
+from anaquel.llm.rindex import op6_suffix_dedup
 from anaquel.llm.sharding import op8_sharding
 from anaquel.llm.token_count import op1_token_counts
 
-QUERIES = (op1_token_counts, op2_language_id, op3_chat_format, op4_lm_score, op5_decontamination, op7_byte_bpe, op8_sharding, op9_minhash, op10_quality)
+QUERIES = (op1_token_counts, op2_language_id, op3_chat_format, op4_lm_score, op5_decontamination, op6_suffix_dedup, op7_byte_bpe, op8_sharding, op9_minhash, op10_quality)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -19,7 +19,8 @@ ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80,
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
-_CODES = np.random.default_rng(_SEED).integers(0, 1 << 64, 256, dtype=np.uint64)[_LOWER]
+_CODES_EXACT = np.random.default_rng(_SEED).integers(0, 1 << 64, 256, dtype=np.uint64)
+_CODES = _CODES_EXACT[_LOWER]
 
 
 @lru_cache(maxsize=2)
