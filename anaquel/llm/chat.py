@@ -53,7 +53,7 @@ def _turn(part: Column) -> Column:
 def chat_windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, tokens=count_tokens) -> DataFrame:
     """One row per window: ``conv_id``, ``first_token``, ``turns``, ``repeated``, ``tokens``, ``formatted``, ``loss_spans``.
 
-    ``first_token`` orders the windows of a conversation. The first ``repeated`` of its ``turns`` are
+    ``first_token`` orders the windows of a conversation; it is -1 if the system turn is new in it. The first ``repeated`` of its ``turns`` are
     repeats. ``loss_spans`` are starts (from 0) and lengths in code points of ``formatted``.
     """
     if not 0 <= history <= budget // 4:
@@ -91,6 +91,8 @@ def chat_windows(conversations: DataFrame, budget: int = BUDGET, history: int =
         .withColumn("stride", stride)
         .withColumn("cell", F.floor(F.col("start") / F.col("stride")))
         .withColumn("last_cell", F.floor(F.greatest(F.col("stop") - 1, F.col("start")) / F.col("stride")))
+        # In front of a first turn whose window is another one.
+        .withColumn("start", F.when(leads, -1).otherwise(F.col("start")))
     )
     # The system text travels with the rows that may open a window: after another window, or first of a task.
     here = Window.partitionBy("task", "conv_id").orderBy("place")
