@@ -1,45 +1,37 @@
-"""Lists of children per parent, bounded in size."""
+"""Lists of children per parent, in pages of bounded size."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from anaquel.sources.staging import stage
-
-MAX_LIST = 100_000
+PAGE = 100_000
+# Children of one parent are ranked in so many groups; a group of the hottest parent is one task's share.
+GROUPS = 4096
 
 
 def collect_children(
-    links: DataFrame,
-    parent: str,
-    child: str,
-    element: Column,
-    list_column: str,
-    max_list: int = MAX_LIST,
-    counted: DataFrame | None = None,
-) -> tuple[DataFrame, bool]:
-    """One sorted list of ``element`` per parent: columns ``parent``, ``parte``, ``list_column``.
+    links: DataFrame, parent: str, child: str, element: Column, list_column: str, page: int = PAGE
+) -> DataFrame:
+    """One list of ``element`` per parent and page: columns ``parent``, ``parte``, ``list_column``.
 
-    A parent with more than ``max_list`` children gets its list in several rows, ``parte`` 0, 1, ...,
-    so no task and no row ever holds an unbounded group and no child is lost. ``child`` is an integer
-    id; a child goes to part ``child mod parts``. Returned beside the lists: whether any parent has
-    more than one part. The children are counted in ``counted``, which has at least their rows and
-    the column ``parent``; it defaults to ``links``.
+    Every parent's children are ranked, and ``parte`` is the page of the rank: 0, 1, ... with ``page``
+    children each but the last. So no row and no task holds an unbounded group and no child is lost.
+    The rank is exact without a window over a parent: it goes by the group of the child's hash, then
+    by ``child``, and the groups' counts give what comes before. A page's list is sorted.
     """
-    lists = F.sort_array(F.collect_list(element)).alias(list_column)
-    counts = (links if counted is None else counted).groupBy(parent).agg(F.count(F.lit(1)).alias("_n"))
-    most = counts.agg(F.max("_n")).first()[0] or 0
-    if most <= max_list:
-        whole = links.groupBy(parent).agg(lists)
-        return whole.select(parent, F.lit(0).alias("parte"), list_column), False
-    hot = stage(
-        counts.filter(F.col("_n") > max_list).select(
-            F.col(parent), F.ceil(F.col("_n") / F.lit(max_list)).cast("int").alias("_parts")
-        ),
-        "hot_parents",
+    grouped = links.withColumn("_group", F.pmod(F.hash(child), F.lit(GROUPS)))
+    # At most GROUPS rows per parent.
+    before = (
+        grouped.groupBy(parent, "_group")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_before", F.sum("_n").over(Window.partitionBy(parent).orderBy("_group")) - F.col("_n"))
+        .drop("_n")
+    )
+    inside = F.row_number().over(Window.partitionBy(parent, "_group").orderBy(child))
+    paged = (
+        grouped.withColumn("_inside", inside)
+        .join(before, [parent, "_group"])
+        .withColumn("parte", F.floor((F.col("_before") + F.col("_inside") - 1) / F.lit(page)).cast("int"))
     )
-    part = F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.col(child), F.col("_parts"))).cast("int")
-    # The written size of `hot` decides whether it is broadcast; the rows then move once, by part.
-    parted = links.join(hot, parent, "left").withColumn("parte", part).drop("_parts").repartition(parent, "parte")
-    return parted.groupBy(parent, "parte").agg(lists), True
+    return paged.groupBy(parent, "parte").agg(F.sort_array(F.collect_list(element)).alias(list_column))

@@ -3,23 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-SPREAD = 16
+from anaquel.sources.staging import stage
 
 
-def spread_lookup(
-    facts: DataFrame, lookup: DataFrame, key: str, spread_by: str, how: str = "left", spread: int = SPREAD
-) -> DataFrame:
-    """Join ``facts`` to ``lookup`` on ``key`` with the rows of each key spread over ``spread`` tasks.
+def attach(facts: DataFrame, lookup: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Join ``facts`` to ``lookup``, which has one row per ``key``.
 
-    Adaptive execution splits a skewed join only when both sides come straight from a shuffle. For a
-    lookup that is itself an aggregate this does it by salt: each lookup row is repeated once per
-    salt, each fact row takes one salt from ``spread_by``.
+    The lookup is staged: as a written table its size is known, which decides whether it is broadcast, and
+    otherwise both sides come straight from a shuffle, so that adaptive execution splits hot keys by
+    what they hold.
     """
-    salted = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    return (
-        facts.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(spread)).cast("int"))
-        .join(salted, [key, "_salt"], how)
-        .drop("_salt")
-    )
+    return facts.join(stage(lookup, f"lookup_{key}"), key, how)

@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from anaquel.operators.lookup import spread_lookup
+from anaquel.operators.lookup import attach
 from anaquel.operators.numbering import rank_by_sequence
 from anaquel.operators.stock import ACCEPTED, stock_gate
+from anaquel.sources.staging import stage
 
 UNKNOWN_USER = "usuario_no_encontrado"
 UNKNOWN_BOOK = "libro_no_encontrado"
@@ -38,11 +39,13 @@ def register_loans(
     """
     wanted = users.join(requests.select("correo").distinct(), "correo", "left_semi")
     by_mail = wanted.groupBy("correo").agg(F.min("id_usuario").alias("id_usuario"))
-    found = spread_lookup(requests, by_mail, "correo", spread_by="secuencia")
+    # Read several times from here on.
+    found = stage(attach(requests, by_mail, "correo"), "requests")
     has_user = F.col("id_usuario").isNotNull()
-    gated = stock_gate(found, inventory, counted=has_user).withColumn(
+    served = stock_gate(found, inventory, counted=has_user).withColumn(
         "resultado", F.when(has_user, F.col("resultado")).otherwise(UNKNOWN_USER)
     )
+    gated = stage(served, "gated_requests")
     accepted = F.col("resultado") == ACCEPTED
     numbered = rank_by_sequence(gated, "secuencia", "_new", counted=accepted)
     return numbered.select(

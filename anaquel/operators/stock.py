@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from anaquel.operators.lookup import spread_lookup
-from anaquel.operators.numbering import SLICE_WIDTH, rank_by_sequence
+from anaquel.operators.lookup import attach
+from anaquel.operators.numbering import rank_by_sequence
 
 ACCEPTED = "aceptado"
 UNKNOWN_BOOK = "no_existe"
@@ -28,16 +28,14 @@ def gate_quantity(inventory: DataFrame) -> DataFrame:
     return inventory.groupBy("id_libro").agg(F.min_by("cantidad", "id_sede").alias("disponible"))
 
 
-def stock_gate(
-    requests: DataFrame, inventory: DataFrame, counted: Column | None = None, width: int = SLICE_WIDTH
-) -> DataFrame:
+def stock_gate(requests: DataFrame, inventory: DataFrame, counted: Column | None = None) -> DataFrame:
     """Add ``turno`` (place among the requests of the book), ``disponible`` and ``resultado``.
 
-    ``requests`` has ``secuencia``, an integer unique per book, and ``id_libro``. Requests where
+    ``requests`` has ``secuencia``, unique per book, and ``id_libro``. Requests where
     ``counted`` does not hold take no place and get no result.
     """
     ranked = rank_by_sequence(
-        requests, "secuencia", "turno", group="id_libro", counted=counted, per_group=gate_quantity(inventory), width=width
+        requests, "secuencia", "turno", group="id_libro", counted=counted, per_group=gate_quantity(inventory)
     )
     served = (
         F.when(F.col("disponible").isNull(), UNKNOWN_BOOK)
@@ -53,7 +51,7 @@ def accepted_per_book(requests: DataFrame, inventory: DataFrame) -> DataFrame:
     """Requests the gate accepts per book: as many as there are, up to the quantity."""
     asked = requests.groupBy("id_libro").agg(F.count(F.lit(1)).alias("pedidos"))
     served = F.least("pedidos", F.greatest("disponible", F.lit(0)))
-    return asked.join(gate_quantity(inventory), "id_libro").select("id_libro", served.cast("int").alias("aceptados"))
+    return asked.join(gate_quantity(inventory), "id_libro").select("id_libro", served.cast("bigint").alias("aceptados"))
 
 
 def stock_after(requests: DataFrame, inventory: DataFrame) -> DataFrame:
@@ -64,7 +62,7 @@ def stock_after(requests: DataFrame, inventory: DataFrame) -> DataFrame:
 
 def take_off(inventory: DataFrame, accepted: DataFrame) -> DataFrame:
     left = F.col("cantidad") - F.coalesce("aceptados", F.lit(0))
-    return spread_lookup(inventory, accepted, "id_libro", spread_by="id_sede").select(
+    return attach(inventory, accepted, "id_libro").select(
         "id_sede", "id_libro", left.alias("cantidad")
     )
 

@@ -5,27 +5,24 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from anaquel.operators.children import MAX_LIST, collect_children
+from anaquel.operators.children import PAGE, collect_children
 from anaquel.plans.mapping import DEFAULT_MAPPING
 from anaquel.schema import PRIMARY_KEYS, canonical
-from anaquel.session import concurrently
 from anaquel.sources.tables import write_collection
 
-PARTS_SUFFIX = "_partes"
-
 
 def build_collection(
-    tables: Mapping[str, DataFrame], table: str, mapping: Mapping[str, dict] = DEFAULT_MAPPING, max_list: int = MAX_LIST
+    tables: Mapping[str, DataFrame], table: str, mapping: Mapping[str, dict] = DEFAULT_MAPPING, page: int = PAGE
 ) -> DataFrame:
     """The documents of one table.
 
     A row whose ``local_key`` refers to nothing has no document. Lists are sorted, and empty where a
-    row has no links. A collection with lists has the column ``parte``: 0, and 1, 2, ... for the rest
-    of a list longer than ``max_list``.
+    row has no links. A collection with lists has the column ``parte``: 0, and 1, 2, ... for the further
+    pages of lists with more than ``page`` children.
     """
     spec = mapping[table]
     embedded = spec.get("embebidos", {})
@@ -45,19 +42,12 @@ def build_collection(
         return documents.select(*columns)
 
     key = PRIMARY_KEYS[canonical(table)][0]
-    # Each list first counts its children; the counts of several lists run side by side.
-    built = concurrently(lambda name: _children(tables, key, lists[name], f"_list_{name}", max_list), lists)
-    children = {name: child for name, (child, _) in zip(lists, built)}
-    split = any(several for _, several in built)
-    if split:
-        documents = _with_parts(documents, key, list(children.values()))
-        on = [key, "parte"]
-    else:
-        documents = documents.withColumn("parte", F.lit(0))
-        children = {name: child.drop("parte") for name, child in children.items()}
-        on = [key]
-    for child in children.values():
-        documents = documents.join(child, on, "left")
+    children = [_children(tables, key, lists[name], f"_list_{name}", page) for name in lists]
+    # The pages of all lists of a parent meet in one row per page; a parent without any has page 0.
+    pages = children[0]
+    for child in children[1:]:
+        pages = pages.join(child, [key, "parte"], "full")
+    documents = documents.join(pages, key, "left").withColumn("parte", F.coalesce("parte", F.lit(0)))
     columns += [F.coalesce(f"_list_{name}", F.array()).alias(name) for name in lists]
     return documents.select(*columns, "parte")
 
@@ -73,32 +63,21 @@ def _document(df: DataFrame, fields: Mapping[str, str]) -> Column:
 
 
 def _children(
-    tables: Mapping[str, DataFrame], key: str, embedded: dict, list_column: str, max_list: int
-) -> tuple[DataFrame, bool]:
+    tables: Mapping[str, DataFrame], key: str, embedded: dict, list_column: str, page: int
+) -> DataFrame:
     source_name = canonical(embedded["source"])
     source = tables[source_name]
     child = PRIMARY_KEYS[source_name][0]
     links = tables[canonical(embedded["via"])].select(key, child)
     documents = source.select(child, _document(source, embedded["fields"]).alias("_child"))
-    return collect_children(
-        links.join(documents, child), key, child, F.col("_child"), list_column, max_list, counted=links
-    )
-
-
-def _with_parts(documents: DataFrame, key: str, children: list[DataFrame]) -> DataFrame:
-    """Repeat the row of a parent for every part any of its lists has; part 0 always exists."""
-    later = [child.filter(F.col("parte") > 0).select(key, "parte") for child in children]
-    parts = reduce(DataFrame.unionByName, later).distinct()
-    first = documents.withColumn("parte", F.lit(0))
-    return first.unionByName(documents.join(parts, key).select(*first.columns))
+    return collect_children(links.join(documents, child), key, child, F.col("_child"), list_column, page)
 
 
 def build_documents(
-    tables: Mapping[str, DataFrame], mapping: Mapping[str, dict] = DEFAULT_MAPPING, max_list: int = MAX_LIST
+    tables: Mapping[str, DataFrame], mapping: Mapping[str, dict] = DEFAULT_MAPPING, page: int = PAGE
 ) -> dict[str, DataFrame]:
     """All collections by name."""
-    built = concurrently(lambda table: build_collection(tables, table, mapping, max_list), mapping)
-    return {spec["collection"]: df for spec, df in zip(mapping.values(), built)}
+    return {spec["collection"]: build_collection(tables, table, mapping, page) for table, spec in mapping.items()}
 
 
 def count_documents(collections: Mapping[str, DataFrame]) -> DataFrame:
@@ -112,11 +91,13 @@ def count_documents(collections: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def count_written(spark: SparkSession, collections: Mapping[str, DataFrame], folder: str, fmt: str = "json") -> DataFrame:
+    """Number of documents per collection, counted from what ``write_documents`` has written."""
+    written = {n: spark.read.schema(df.schema).format(fmt).load(f"{folder.rstrip('/')}/{n}") for n, df in collections.items()}
+    return count_documents(written)
+
+
 def write_documents(collections: Mapping[str, DataFrame], folder: str, fmt: str = "json", **options) -> None:
-    """Replace the collections. Later parts of long lists go to ``<collection>_partes``."""
+    """Replace the collections. The pages of a document's lists are documents with the same ``_id``."""
     for name, df in collections.items():
-        if "parte" not in df.columns:
-            write_collection(df, folder, name, fmt, **options)
-            continue
-        write_collection(df.filter(F.col("parte") == 0).drop("parte"), folder, name, fmt, **options)
-        write_collection(df.filter(F.col("parte") > 0), folder, name + PARTS_SUFFIX, fmt, **options)
+        write_collection(df, folder, name, fmt, **options)

@@ -6,8 +6,10 @@ Two modes:
   the text as it stands, but matched on trimmed text; categories, users and branches are matched on
   part of their key; bridges go through the book title. Several matches give several rows.
 * ``strict`` trims before it removes duplicates, matches whole keys, follows the raw row instead of
-  the title where the raw row is known, keeps rows without dimension with a null reference, and
-  takes the loan-book links from the list in the raw loan.
+  the title where the raw row is known, and keeps rows without dimension with a null reference.
+
+In both, loan-book links follow the lists in the raw loans: the first page of a list is in the loan itself, further
+ones in ``prestamos_crudos_paginas``, if there is such a table. Simulated links are a choice.
 
 Raw rows are reduced to the distinct keys of a step, with their number in ``_n``, before any join.
 That keeps copies of a row out of the shuffles and leaves the multiplicity to the key check.
@@ -36,7 +38,6 @@ LIST_SEPARATOR = ","
 
 # Multipliers of the simulated links; primes, so that draws of one loan differ.
 LOAN_FACTOR, DRAW_FACTOR = 7919, 104729
-LINKS_PER_LOAN = 3
 
 
 class InvalidValue(ValueError):
@@ -48,6 +49,7 @@ class Migration:
 
     ``invalid`` says what becomes of a row whose date or rating cannot be converted: ``null`` loads
     the row without it, ``drop`` leaves the row to ``quarantine``, ``abort`` refuses the load.
+    ``links_per_loan`` draws so many simulated loan-book links per loan instead of reading the lists.
     """
 
     def __init__(
@@ -55,7 +57,7 @@ class Migration:
         legacy: Mapping[str, DataFrame],
         mode: str = COMPATIBLE,
         invalid: str = "null",
-        links_per_loan: int = LINKS_PER_LOAN,
+        links_per_loan: int | None = None,
     ):
         if mode not in (COMPATIBLE, STRICT):
             raise ValueError(f"unknown mode {mode}")
@@ -248,26 +250,32 @@ def prestamos(m: Migration) -> DataFrame:
         "estado": F.col("estado_prestamo"),
         "mail": F.trim("correo_usuario"),
     }
+    order = ["raw_id", "id_usuario", "fecha_salida", "estado"]
+    if m.links_per_loan is None:
+        kept["libros_prestados"] = F.col("libros_prestados")
+        order.append("libros_prestados")
     if m.strict:
-        kept |= {"name": F.trim("nombre_usuario"), "libros_prestados": F.col("libros_prestados")}
-        loans = _counted(raw, **kept)
+        loans = _counted(raw, **kept, name=F.trim("nombre_usuario"))
         users = m.raw("usuarios")
         same = loans.name.eqNullSafe(users.nombre) & loans.mail.eqNullSafe(users.correo)
         joined = loans.join(users, same, "left").drop("mail", "name", "nombre", "correo")
-        order = ["raw_id", "id_usuario", "fecha_salida", "estado", "libros_prestados"]
     else:
         users = m.raw("usuarios").select("id_usuario", F.trim("correo").alias("mail"))
         joined = _counted(raw, **kept).join(users, "mail").drop("mail")
-        order = ["raw_id", "id_usuario", "fecha_salida", "estado"]
     return number_rows(joined, order, "id_prestamo", copies=MULTIPLICITY)
 
 
 def prestamo_libro(m: Migration) -> DataFrame:
     m.prepare("prestamos", "libros")
-    if m.strict:
-        return listed_links(m.raw("prestamos"), _one_book_per_title(m))
-    books = m.raw("libros").select(F.count(F.lit(1))).scalar()
-    return simulated_links(m.raw("prestamos").select("id_prestamo"), books, m.links_per_loan)
+    loans = m.raw("prestamos")
+    if m.links_per_loan is not None:
+        books = m.raw("libros").select(F.count(F.lit(1))).scalar()
+        return simulated_links(loans.select("id_prestamo"), books, m.links_per_loan)
+    lists = loans.select("id_prestamo", "libros_prestados")
+    if "prestamos_crudos_paginas" in m.legacy:
+        pages = m.legacy["prestamos_crudos_paginas"].select(F.col("id_prestamo").alias("raw_id"), "libros_prestados")
+        lists = lists.unionByName(loans.select("raw_id", "id_prestamo").join(pages, "raw_id").drop("raw_id"))
+    return listed_links(lists, _one_book_per_title(m) if m.strict else _titles(m))
 
 
 def simulated_links(loans: DataFrame, books: Column, links_per_loan: int) -> DataFrame:

@@ -15,7 +15,7 @@ LEGACY = {
     "editorial_info STRING, fecha_publicacion STRING",
     "prestamos_crudos": "id_prestamo BIGINT, nombre_usuario STRING, correo_usuario STRING, libros_prestados STRING, "
     "fecha_salida DATE, estado_prestamo STRING",
-    "inventario_sedes": "sede_nombre STRING, ubicacion_sede STRING, libro_asociado STRING, cantidad_total INT",
+    "inventario_sedes": "sede_nombre STRING, ubicacion_sede STRING, libro_asociado STRING, cantidad_total BIGINT",
     "resenas_usuarios": "usuario_id BIGINT, libro_titulo STRING, comentario STRING, calificacion STRING",
 }
 
@@ -31,7 +31,7 @@ NORMALISED = {
     "prestamos": "id_prestamo BIGINT, id_usuario BIGINT, fecha_salida DATE, estado STRING",
     "prestamo_libro": "id_prestamo BIGINT, id_libro BIGINT",
     "sedes": "id_sede BIGINT, nombre STRING, ubicacion STRING",
-    "inventario": "id_sede BIGINT, id_libro BIGINT, cantidad INT",
+    "inventario": "id_sede BIGINT, id_libro BIGINT, cantidad BIGINT",
     "resenas": "id_resena BIGINT, id_usuario BIGINT, id_libro BIGINT, comentario STRING, calificacion INT",
 }
 

@@ -12,7 +12,7 @@ from threading import Lock
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anaquel.operators.children import MAX_LIST, collect_children
+from anaquel.operators.children import PAGE, collect_children
 from anaquel.sources.staging import stage
 
 
@@ -82,7 +82,7 @@ def _stock(spark: SparkSession, folder: str) -> DataFrame:
     return (
         by_supplier.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy("s_nationkey", "l_partkey")
-        .agg(F.sum("q").cast("int").alias("q"))
+        .agg(F.sum("q").cast("bigint").alias("q"))
     )
 
 
@@ -108,20 +108,22 @@ def biblioteca_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def prestamos_crudos(spark: SparkSession, folder: str, max_list: int = MAX_LIST) -> DataFrame:
-    """Raw loans from the orders, each with the titles of its parts in one text.
-
-    An order with more than ``max_list`` lines has its titles in several raw loans with the same id.
-    """
-    orders = star_table(spark, folder, "orders")
-    customer = star_table(spark, folder, "customer")
+def _title_pages(spark: SparkSession, folder: str, page: int) -> DataFrame:
+    """The titles of each order's parts, in pages."""
     lines = star_table(spark, folder, "lineitem").select("l_orderkey", "l_partkey")
     part = star_table(spark, folder, "part").select("p_partkey", _title().alias("title"))
     titled = lines.distinct().join(part, F.col("l_partkey") == F.col("p_partkey"))
-    lists, _ = collect_children(titled, "l_orderkey", "l_partkey", F.col("title"), "titles", max_list, counted=lines)
+    return collect_children(titled, "l_orderkey", "l_partkey", F.col("title"), "titles", page)
+
+
+def prestamos_crudos(spark: SparkSession, folder: str, page: int = PAGE) -> DataFrame:
+    """Raw loans from the orders, one row each, with the first page of its titles in one text."""
+    orders = star_table(spark, folder, "orders")
+    customer = star_table(spark, folder, "customer")
+    first = _title_pages(spark, folder, page).filter(F.col("parte") == 0)
     return (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(lists, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        .join(first, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .select(
             F.col("o_orderkey").cast("bigint").alias("id_prestamo"),
             F.col("c_name").alias("nombre_usuario"),
@@ -133,6 +135,14 @@ def prestamos_crudos(spark: SparkSession, folder: str, max_list: int = MAX_LIST)
     )
 
 
+def prestamos_crudos_paginas(spark: SparkSession, folder: str, page: int = PAGE) -> DataFrame:
+    """The further pages of the titles of raw loans: ``id_prestamo``, ``parte`` from 1, ``libros_prestados``."""
+    later = _title_pages(spark, folder, page).filter(F.col("parte") > 0)
+    return later.select(
+        F.col("l_orderkey").cast("bigint").alias("id_prestamo"), "parte", F.array_join("titles", ", ").alias("libros_prestados")
+    )
+
+
 def inventario_sedes(spark: SparkSession, folder: str) -> DataFrame:
     part = star_table(spark, folder, "part")
     return (
@@ -175,7 +185,7 @@ def resenas_usuarios(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def legacy_tables(spark: SparkSession, folder: str, written: bool = False) -> Mapping[str, DataFrame]:
+def legacy_tables(spark: SparkSession, folder: str, written: bool = False, page: int = PAGE) -> Mapping[str, DataFrame]:
     """The raw tables. ``written`` loads the stock, which is grouped from the lines, when it is first
     used; that pays for the migration, where two steps read it."""
 
@@ -186,7 +196,8 @@ def legacy_tables(spark: SparkSession, folder: str, written: bool = False) -> Ma
     return LazyTables(
         {
             "biblioteca_data": lambda: biblioteca_data(spark, folder),
-            "prestamos_crudos": lambda: prestamos_crudos(spark, folder),
+            "prestamos_crudos": lambda: prestamos_crudos(spark, folder, page),
+            "prestamos_crudos_paginas": lambda: prestamos_crudos_paginas(spark, folder, page),
             "inventario_sedes": stock,
             "resenas_usuarios": lambda: resenas_usuarios(spark, folder),
         }

@@ -69,38 +69,38 @@ def test_counts(tables, rows):
     assert got == [("inventario", 2), ("libros", 2), ("prestamos", 2), ("usuarios", 2)]
 
 
-def test_hot_parent_is_split_without_loss(spark):
-    links = [(1, c) for c in range(1000)] + [(p, c) for p in range(2, 30) for c in range(p % 4)]
+@pytest.mark.parametrize("factor", [1, 10, 1024])
+def test_hot_parent_is_paged_without_loss(spark, factor):
+    links = [(1, factor * c) for c in range(1000)] + [(p, c) for p in range(2, 30) for c in range(p % 4)]
     df = spark.createDataFrame(links, "p BIGINT, c BIGINT")
-    lists, several = collect_children(df, "p", "c", F.col("c"), "l", max_list=100)
-    assert several
-    got = lists.collect()
-    assert max(len(r.l) for r in got) <= 100
-    assert sorted(r.parte for r in got if r.p == 1) == list(range(10))
+    got = collect_children(df, "p", "c", F.col("c"), "l", page=100).collect()
+    assert all(r.l == sorted(r.l) for r in got)
+    assert sorted((r.parte, len(r.l)) for r in got if r.p == 1) == [(i, 100) for i in range(10)]
     assert all(r.parte == 0 for r in got if r.p != 1)
     assert Counter((r.p, c) for r in got for c in r.l) == Counter(links)
 
 
-def test_split_documents(tables, spark, tmp_path):
+def test_paged_documents(tables, spark, tmp_path):
     books = spark.createDataFrame([(i, f"t{i:02d}", DAY, 1) for i in range(1, 26)], NORMALISED["libros"])
     lines = spark.createDataFrame([(1, i) for i in range(1, 26)], NORMALISED["prestamo_libro"])
     hot = {**tables, "libros": books, "prestamo_libro": lines}
-    df = documents.build_collection(hot, "Prestamos", max_list=10)
+    df = documents.build_collection(hot, "Prestamos", page=10)
     parts = {(r["_id"], r.parte): [b.titulo for b in r.libros] for r in df.collect()}
     assert parts.keys() == {(1, 0), (1, 1), (1, 2), (2, 0)}
     assert sorted(t for v in parts.values() for t in v) == [f"t{i:02d}" for i in range(1, 26)]
-    collections = documents.build_documents(hot, max_list=10)
+    collections = documents.build_documents(hot, page=10)
     assert {r.coleccion: r.documentos for r in documents.count_documents(collections).collect()}["prestamos"] == 2
     documents.write_documents(collections, str(tmp_path))
-    assert spark.read.json(str(tmp_path / "prestamos")).count() == 2
-    assert spark.read.json(str(tmp_path / "prestamos_partes")).count() == 2
+    assert spark.read.json(str(tmp_path / "prestamos")).count() == 4
+    counted = documents.count_written(spark, collections, str(tmp_path)).collect()
+    assert {r.coleccion: r.documentos for r in counted}["prestamos"] == 2
 
 
 def test_written_json_keeps_nulls_and_shape(tables, spark, tmp_path):
     documents.write_documents(documents.build_documents(tables), str(tmp_path))
     lines = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "libros")).collect()]
     by_id = {d["_id"]: d for d in lines}
-    assert list(by_id[2]) == ["_id", "titulo", "fecha", "editorial", "autores", "categorias"]
+    assert list(by_id[2]) == ["_id", "titulo", "fecha", "editorial", "autores", "categorias", "parte"]
     assert by_id[2]["fecha"] is None and by_id[2]["autores"] == []
     # Written again, the collection is replaced.
     documents.write_documents(documents.build_documents(tables), str(tmp_path))

@@ -1,6 +1,7 @@
 """The migration on small raw tables: what each mode makes of untidy keys."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 
@@ -125,6 +126,34 @@ def test_bad_dates(legacy, rows):
     assert rows(Migration(raw, invalid="drop").table("libros"), "titulo") == [("t2",), ("t3",)]
 
 
+def test_links_come_from_the_list_and_its_further_pages(legacy, rows, spark):
+    raw = legacy(
+        books=[book(1, "one"), book(2, "two"), book(3, "two")],
+        loans=[(7, "Ana", "m@x.c", "one, two ,none, one", DAY, "Activo"), (8, "Ana", "m@x.c", None, DAY, "Activo")],
+    )
+    assert rows(Migration(raw).table("prestamo_libro")) == [(1, 1), (1, 2), (1, 3)]
+    pages = spark.createDataFrame([(8, 1, "two"), (9, 1, "one")], "id_prestamo BIGINT, parte INT, libros_prestados STRING")
+    more = {**raw, "prestamos_crudos_paginas": pages}
+    assert rows(Migration(more).table("prestamo_libro")) == [(1, 1), (1, 2), (1, 3), (2, 2), (2, 3)]
+    assert rows(Migration(more, STRICT).table("prestamo_libro")) == [(1, 1), (1, 2), (2, 2)]
+    assert Migration(raw, links_per_loan=3).table("prestamo_libro").count() > 0
+
+
+def test_page_size_changes_no_result(spark, rows):
+    from anaquel.plans import quality
+    from anaquel.sources.star import legacy_tables
+
+    folder = "/root/testdata/sf0.001"
+    if not Path(folder).exists():
+        pytest.skip("no test data")
+    paged, whole = (legacy_tables(spark, folder, page=page) for page in (3, 100_000))
+    assert paged["prestamos_crudos_paginas"].count() > 0 and whole["prestamos_crudos_paginas"].count() == 0
+    assert rows(Migration(paged).table("prestamos")) == rows(Migration(whole).table("prestamos"))
+    assert rows(Migration(paged).table("prestamo_libro")) == rows(Migration(whole).table("prestamo_libro"))
+    report = [rows(quality.quality_report(t, "legacy"), "orden", "filas", "errores") for t in (paged, whole)]
+    assert report[0] == report[1]
+
+
 def test_strict_links_come_from_the_list(legacy, rows):
     raw = legacy(
         books=[book(1, "one"), book(2, "two"), book(3, "two")],
