@@ -33,15 +33,6 @@ def _name_part(n: int) -> str:
     return f"trim(split_part(categoria_y_descripcion, '/', {n}))"
 
 
-MAX_LIST = 100_000
-
-
-def _part(parent: str, child: str) -> str:
-    """Which part of the list of ``parent`` an element belongs to: 0, unless the list is very long."""
-    rows = f"count(*) OVER (PARTITION BY {parent})"
-    return f"CASE WHEN {rows} > {MAX_LIST} THEN {child} % CAST(ceil({rows} / {MAX_LIST}.0) AS BIGINT) ELSE 0 END"
-
-
 def _ids(order: str) -> str:
     return "row_number() OVER (ORDER BY " + ", ".join(f"{c} NULLS FIRST" for c in order.split(", ")) + ")"
 
@@ -63,13 +54,11 @@ TABLES = {
                t.titles AS libros_prestados, CAST(o_orderdate AS DATE) AS fecha_salida, {STATUS} AS estado_prestamo
         FROM orders JOIN customer ON o_custkey = c_custkey
         LEFT JOIN (SELECT l_orderkey, string_agg(title, ', ' ORDER BY title) AS titles
-                   FROM (SELECT DISTINCT l_orderkey, parte, {TITLE} AS title
-                         FROM (SELECT l_orderkey, l_partkey, {_part('l_orderkey', 'l_partkey')} AS parte FROM lineitem)
-                         JOIN part ON l_partkey = p_partkey)
-                   GROUP BY l_orderkey, parte) t ON o_orderkey = l_orderkey""",
+                   FROM (SELECT DISTINCT l_orderkey, {TITLE} AS title FROM lineitem JOIN part ON l_partkey = p_partkey)
+                   GROUP BY l_orderkey) t ON o_orderkey = l_orderkey""",
     "lg_inventario": f"""
         SELECT n_name AS sede_nombre, r_name || ', ' || n_name AS ubicacion_sede, {TITLE} AS libro_asociado,
-               CAST(sum(l_quantity) AS INTEGER) AS cantidad_total
+               CAST(sum(l_quantity) AS BIGINT) AS cantidad_total
         FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
         JOIN region ON n_regionkey = r_regionkey JOIN part ON l_partkey = p_partkey
         GROUP BY ALL""",
@@ -88,36 +77,43 @@ TABLES = {
     "e_autores": f"""
         SELECT {_ids('nombre')} AS id_autor, nombre FROM (SELECT DISTINCT autor_nombre AS nombre FROM lg_biblioteca)""",
     "e_libro_autor": """
-        SELECT id_libro, id_autor FROM lg_biblioteca b JOIN e_libros l ON trim(b.titulo_libro) = trim(l.titulo)
-        JOIN e_autores a ON trim(b.autor_nombre) = trim(a.nombre)""",
+        SELECT id_libro, id_autor
+        FROM (SELECT trim(titulo_libro) AS obra, trim(autor_nombre) AS firma FROM lg_biblioteca)
+        JOIN (SELECT trim(titulo) AS obra, id_libro FROM e_libros) USING (obra)
+        JOIN (SELECT trim(nombre) AS firma, id_autor FROM e_autores) USING (firma)""",
     "e_categorias": f"""
         SELECT {_ids('nombre, descripcion')} AS id_categoria, nombre, descripcion
         FROM (SELECT DISTINCT {_name_part(1)} AS nombre, {_name_part(2)} AS descripcion FROM lg_biblioteca)""",
     "e_libro_categoria": f"""
-        SELECT id_libro, id_categoria FROM lg_biblioteca b JOIN e_libros l ON trim(b.titulo_libro) = trim(l.titulo)
-        JOIN e_categorias c ON {_name_part(1)} = trim(c.nombre)""",
+        SELECT id_libro, id_categoria
+        FROM (SELECT trim(titulo_libro) AS obra, {_name_part(1)} AS grupo FROM lg_biblioteca)
+        JOIN (SELECT trim(titulo) AS obra, id_libro FROM e_libros) USING (obra)
+        JOIN (SELECT trim(nombre) AS grupo, id_categoria FROM e_categorias) USING (grupo)""",
     "e_usuarios": f"""
         SELECT {_ids('nombre, correo')} AS id_usuario, nombre, correo
         FROM (SELECT DISTINCT nombre_usuario AS nombre, correo_usuario AS correo FROM lg_prestamos)""",
     "e_prestamos": f"""
         SELECT {_ids('p.id_prestamo, u.id_usuario, fecha_salida, estado_prestamo')} AS id_prestamo, id_usuario,
-               fecha_salida, estado_prestamo AS estado
+               fecha_salida, estado_prestamo AS estado, libros_prestados
         FROM lg_prestamos p JOIN e_usuarios u ON trim(p.correo_usuario) = trim(u.correo)""",
     "e_prestamo_libro": """
-        SELECT DISTINCT id_prestamo, (id_prestamo * 7919 + j * 104729) % (SELECT count(*) FROM e_libros) + 1 AS id_libro
-        FROM e_prestamos, (SELECT unnest([0, 1, 2]) AS j)""",
+        SELECT DISTINCT id_prestamo, id_libro
+        FROM (SELECT id_prestamo, trim(unnest(string_split(libros_prestados, ','))) AS entrada FROM e_prestamos)
+        JOIN e_libros ON entrada = trim(titulo)""",
     "e_resenas": f"""
         SELECT {_ids('id_usuario, trim(titulo), comentario, nota, id_libro')} AS id_resena, id_usuario, id_libro,
                comentario, nota AS calificacion
-        FROM (SELECT *, {_int('calificacion')} AS nota FROM lg_resenas) r
-        JOIN e_libros l ON trim(r.libro_titulo) = trim(l.titulo) JOIN e_usuarios u ON u.id_usuario = r.usuario_id""",
+        FROM (SELECT usuario_id AS id_usuario, trim(libro_titulo) AS obra, comentario, {_int('calificacion')} AS nota FROM lg_resenas)
+        JOIN (SELECT trim(titulo) AS obra, titulo, id_libro FROM e_libros) USING (obra)
+        SEMI JOIN e_usuarios USING (id_usuario)""",
     "e_sedes": f"""
         SELECT {_ids('nombre, ubicacion')} AS id_sede, nombre, ubicacion
         FROM (SELECT DISTINCT sede_nombre AS nombre, ubicacion_sede AS ubicacion FROM lg_inventario)""",
     "e_inventario": """
         SELECT id_sede, id_libro, cantidad_total AS cantidad
-        FROM lg_inventario i JOIN e_sedes s ON trim(i.sede_nombre) = trim(s.nombre)
-        JOIN e_libros l ON trim(i.libro_asociado) = trim(l.titulo)""",
+        FROM (SELECT trim(sede_nombre) AS lugar, trim(libro_asociado) AS obra, cantidad_total FROM lg_inventario)
+        JOIN (SELECT trim(nombre) AS lugar, id_sede FROM e_sedes) USING (lugar)
+        JOIN (SELECT trim(titulo) AS obra, id_libro FROM e_libros) USING (obra)""",
     # Strict migration.
     "s_editoriales": f"""
         SELECT {_ids('nombre')} AS id_editorial, nombre
@@ -193,38 +189,39 @@ TABLES = {
     "m_sedes": "SELECT id_categoria AS id_sede, nombre, descripcion AS ubicacion FROM m_categorias",
     "m_inventario": """
         SELECT CAST(s_nationkey AS BIGINT) AS id_sede, l_partkey AS id_libro,
-               CASE WHEN l_partkey % 37 <> 0 THEN CAST(sum(l_quantity) AS INTEGER) END AS cantidad
+               CASE WHEN l_partkey % 37 <> 0 THEN CAST(sum(l_quantity) AS BIGINT) END AS cantidad
         FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_partkey IS NOT NULL GROUP BY s_nationkey, l_partkey""",
     "m_resenas": f"""
         SELECT event_id AS id_resena, user_id AS id_usuario, event_id % (SELECT count(*) FROM part) AS id_libro,
                event_type AS comentario, CASE WHEN event_id % 101 <> 0 THEN {RATING} END AS calificacion FROM events""",
-    # Lists of the documents, in parts.
-    "lista_autores": f"""
-        SELECT id_libro, parte, string_agg(nombre, ',' ORDER BY nombre) AS nombres
-        FROM (SELECT *, {_part('id_libro', 'id_autor')} AS parte FROM m_libro_autor) JOIN m_autores USING (id_autor)
-        GROUP BY id_libro, parte""",
-    "lista_categorias": f"""
-        SELECT id_libro, parte, string_agg(nombre || '|' || descripcion, ',' ORDER BY nombre, descripcion) AS nombres
-        FROM (SELECT *, {_part('id_libro', 'id_categoria')} AS parte FROM m_libro_categoria)
-        JOIN m_categorias USING (id_categoria) GROUP BY id_libro, parte""",
-    "lista_libros": f"""
-        SELECT id_prestamo, parte, count(*) AS n, string_agg(titulo, ',' ORDER BY titulo) AS titulos
-        FROM (SELECT *, {_part('id_prestamo', 'id_libro')} AS parte FROM m_prestamo_libro) JOIN m_libros USING (id_libro)
-        GROUP BY id_prestamo, parte""",
+    # Lists of the documents; none of them has a second page here.
+    "lista_autores": """
+        SELECT id_libro, string_agg(nombre, ',' ORDER BY nombre) AS nombres
+        FROM m_libro_autor JOIN m_autores USING (id_autor) GROUP BY id_libro""",
+    "lista_categorias": """
+        SELECT id_libro, string_agg(nombre || '|' || descripcion, ',' ORDER BY nombre, descripcion) AS nombres
+        FROM m_libro_categoria JOIN m_categorias USING (id_categoria) GROUP BY id_libro""",
+    "lista_libros": """
+        SELECT id_prestamo, count(*) AS n, string_agg(titulo, ',' ORDER BY titulo) AS titulos
+        FROM m_prestamo_libro JOIN m_libros USING (id_libro) GROUP BY id_prestamo""",
     # Parts of the results.
+    "validas": """
+        SELECT id_libro, id_prestamo, titulo, usuario FROM m_prestamo_libro
+        SEMI JOIN (SELECT id_prestamo FROM m_prestamos SEMI JOIN m_usuarios USING (id_usuario)) USING (id_prestamo)
+        JOIN (SELECT id_libro, titulo FROM m_libros) USING (id_libro)
+        JOIN (SELECT id_prestamo, nombre AS usuario FROM m_prestamos JOIN m_usuarios USING (id_usuario)) USING (id_prestamo)""",
     "lineas": """
-        SELECT pl.id_prestamo, pl.id_libro, l.titulo, u.nombre AS usuario,
-               count(pl.id_libro) OVER (PARTITION BY l.id_libro) AS veces_prestado
-        FROM m_prestamo_libro pl JOIN m_libros l ON pl.id_libro = l.id_libro
-        JOIN m_prestamos p ON pl.id_prestamo = p.id_prestamo JOIN m_usuarios u ON p.id_usuario = u.id_usuario""",
-    "prestadas": "SELECT * FROM lineas ORDER BY veces_prestado DESC, id_libro, id_prestamo LIMIT 200",
+        SELECT * FROM validas JOIN (SELECT id_libro, count(*) AS veces_prestado FROM validas GROUP BY id_libro) USING (id_libro)""",
+    "prestadas": """
+        SELECT * FROM lineas QUALIFY row_number() OVER (ORDER BY veces_prestado DESC, id_libro, id_prestamo) <= 200""",
     "multas": f"""
-        SELECT u.nombre AS usuario, u.correo, p.id_prestamo, p.fecha_salida,
-               CAST({AS_OF} - p.fecha_salida - 7 AS INTEGER) AS dias_retraso,
-               CAST(({AS_OF} - p.fecha_salida - 7) * 1000 AS INTEGER) AS multa_total
-        FROM m_prestamos p JOIN m_usuarios u ON p.id_usuario = u.id_usuario
-        WHERE p.estado = 'Activo' AND {AS_OF} - p.fecha_salida - 7 > 0
-        ORDER BY multa_total DESC, id_prestamo LIMIT 10""",
+        WITH tarde AS (
+            SELECT id_usuario, id_prestamo, fecha_salida, CAST(date_diff('day', fecha_salida, {AS_OF}) - 7 AS INTEGER) AS dias_retraso
+            FROM m_prestamos WHERE estado = 'Activo'),
+        dueno AS (SELECT id_usuario, nombre AS usuario, correo FROM m_usuarios)
+        SELECT usuario, correo, id_prestamo, fecha_salida, dias_retraso, 1000 * dias_retraso AS multa_total
+        FROM tarde JOIN dueno USING (id_usuario) WHERE dias_retraso > 0
+        QUALIFY rank() OVER (ORDER BY dias_retraso DESC, id_prestamo) <= 10""",
     "gate": """
         SELECT id_libro, cantidad AS disponible
         FROM (SELECT *, row_number() OVER (PARTITION BY id_libro ORDER BY id_sede) AS n FROM m_inventario) WHERE n = 1""",
@@ -232,11 +229,9 @@ TABLES = {
         SELECT l_orderkey + CASE WHEN l_linenumber = 7 THEN 1000000000000 ELSE 0 END AS id_prestamo
         FROM lineitem WHERE l_returnflag = 'R'""",
     "solicitudes": """
-        SELECT p.id_prestamo AS secuencia, CASE WHEN u.id_usuario % 59 = 0 THEN 'sin.' || correo ELSE correo END AS correo,
-               estado, f.id_libro
-        FROM m_prestamos p JOIN m_usuarios u USING (id_usuario)
-        LEFT JOIN (SELECT l_orderkey, min(l_partkey) AS id_libro FROM lineitem GROUP BY l_orderkey) f
-        ON p.id_prestamo = l_orderkey""",
+        SELECT row_number() OVER (ORDER BY id_prestamo, id_libro) AS secuencia,
+               CASE WHEN id_usuario % 59 = 0 THEN 'sin.' || correo ELSE correo END AS correo, estado, id_libro
+        FROM m_prestamo_libro JOIN m_prestamos USING (id_prestamo) JOIN m_usuarios USING (id_usuario)""",
     "con_usuario": """
         SELECT s.*, u.id_usuario FROM solicitudes s
         LEFT JOIN (SELECT correo, min(id_usuario) AS id_usuario FROM m_usuarios GROUP BY correo) u USING (correo)""",
@@ -417,21 +412,15 @@ def _lengths(prefix: str) -> str:
 # -- documents ------------------------------------------------------------------------------------
 
 BOOK_DOCUMENTS = """
-    SELECT l.id_libro AS _id, CAST(p.parte AS INTEGER) AS parte, l.titulo, CAST(l.fecha_publicacion AS TIMESTAMP) AS fecha,
+    SELECT l.id_libro AS _id, CAST(0 AS INTEGER) AS parte, l.titulo, CAST(l.fecha_publicacion AS TIMESTAMP) AS fecha,
            e.nombre AS editorial, coalesce(a.nombres, '') AS autores, coalesce(c.nombres, '') AS categorias
     FROM m_libros l JOIN m_editoriales e USING (id_editorial)
-    JOIN (SELECT id_libro, 0 AS parte FROM m_libros UNION SELECT id_libro, parte FROM lista_autores
-          UNION SELECT id_libro, parte FROM lista_categorias) p ON l.id_libro = p.id_libro
-    LEFT JOIN lista_autores a ON l.id_libro = a.id_libro AND p.parte = a.parte
-    LEFT JOIN lista_categorias c ON l.id_libro = c.id_libro AND p.parte = c.parte"""
+    LEFT JOIN lista_autores a ON l.id_libro = a.id_libro LEFT JOIN lista_categorias c ON l.id_libro = c.id_libro"""
 
 LOAN_DOCUMENTS = """
-    SELECT p.id_prestamo AS _id, CAST(x.parte AS INTEGER) AS parte, CAST(p.fecha_salida AS TIMESTAMP) AS fecha, p.estado,
+    SELECT p.id_prestamo AS _id, CAST(0 AS INTEGER) AS parte, CAST(p.fecha_salida AS TIMESTAMP) AS fecha, p.estado,
            u.nombre, u.correo, CAST(coalesce(b.n, 0) AS INTEGER) AS n_libros, coalesce(b.titulos, '') AS libros
-    FROM m_prestamos p JOIN m_usuarios u USING (id_usuario)
-    JOIN (SELECT id_prestamo, 0 AS parte FROM m_prestamos UNION SELECT id_prestamo, parte FROM lista_libros) x
-    ON p.id_prestamo = x.id_prestamo
-    LEFT JOIN lista_libros b ON p.id_prestamo = b.id_prestamo AND x.parte = b.parte"""
+    FROM m_prestamos p JOIN m_usuarios u USING (id_usuario) LEFT JOIN lista_libros b ON p.id_prestamo = b.id_prestamo"""
 
 INVENTORY_DOCUMENTS = """
     SELECT i.cantidad AS stock, s.nombre AS sede, s.ubicacion, l.id_libro, l.titulo
@@ -454,7 +443,7 @@ GATE = """
     LEFT JOIN gate USING (id_libro)"""
 
 STOCK_AFTER = f"""
-    SELECT id_sede, id_libro, CAST(cantidad - coalesce(n, 0) AS INTEGER) AS cantidad
+    SELECT id_sede, id_libro, CAST(cantidad - coalesce(n, 0) AS BIGINT) AS cantidad
     FROM m_inventario LEFT JOIN (SELECT id_libro, count(*) AS n FROM ({GATE}) WHERE resultado = 'aceptado' GROUP BY id_libro)
     USING (id_libro)"""
 
@@ -483,7 +472,8 @@ FINE_BY_LOAN = f"""
     SELECT d.id_prestamo,
            CASE WHEN fecha_salida IS NOT NULL THEN CAST(greatest({AS_OF} - fecha_salida - 7, 0) * 1000 AS INTEGER) END AS multa,
            fecha_salida IS NOT NULL AS existe
-    FROM (SELECT DISTINCT id_prestamo FROM devoluciones) d LEFT JOIN m_prestamos USING (id_prestamo)"""
+    FROM (SELECT id_prestamo FROM m_prestamos UNION SELECT id_prestamo FROM devoluciones) d
+    LEFT JOIN m_prestamos USING (id_prestamo)"""
 
 FINES_TEXT = """
     SELECT id_prestamo, format('{:<25} {:<30} {:<13} {:<14} {:<14} {:,}', usuario, correo, id_prestamo,
@@ -497,6 +487,12 @@ AUDIT_LOG = f"""
            {RUN_TIME} AS fecha_log
     FROM m_prestamos JOIN m_usuarios USING (id_usuario) WHERE estado = 'Activo'"""
 
+LOAD_CHECK = f"""
+    SELECT 'clave primaria' AS restriccion, tabla, clave AS columnas, nulos + duplicados AS infracciones
+    FROM ({_primary_keys('m_')}) WHERE nulos + duplicados > 0
+    UNION ALL SELECT 'clave foranea', tabla, columna, huerfanas FROM ({_foreign_keys('m_')}) WHERE huerfanas > 0
+    UNION ALL SELECT 'longitud', tabla, columna, excedidas FROM ({_lengths('m_')}) WHERE excedidas > 0"""
+
 # -- registry -------------------------------------------------------------------------------------
 
 TABLE_COLUMNS = {
@@ -528,6 +524,10 @@ SELECTS: dict[str, str] = {
     **{f"elt_{t}": f"SELECT {c} FROM e_{t}" for t, c in TABLE_COLUMNS.items()},
     **{f"elt_estricto_{t}": f"SELECT {c} FROM s_{t}" for t, c in TABLE_COLUMNS.items()},
     "elt_cuarentena": QUARANTINE,
+    "dq_tipo_desconocido": """
+        SELECT 'Inventario_Sedes' AS tabla, 'sede_nombre' AS columna, 'fonetica' AS tipo, false AS conocida,
+               count(*) AS filas, CAST(0 AS BIGINT) AS errores FROM lg_inventario""",
+    "chk_carga": LOAD_CHECK,
     "chk_pk": _primary_keys("e_"),
     "chk_fk": _foreign_keys("e_"),
     "chk_varchar_len": _lengths("e_"),
