@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Year, month and day in digits; month and day may have one digit. The calendar check follows.
-DATE_SHAPE = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
+# Year, month and day in digits; month and day may have one digit, a day of one digit also a space before
+# it. The calendar check follows.
+DATE_SHAPE = "^[0-9]{4}-[0-9]{1,2}-([0-9]{1,2}| [1-9])$"
 
 # Java flags: d lets `$` stop only before "\n", U makes classes such as \s follow Unicode.
 PATTERN_FLAGS = "(?dU)"
@@ -19,7 +20,7 @@ def strict_date(value: Column) -> Column:
     """The date in a text of the form year-month-day, null for anything else. Year 0 is not a year."""
     text = value.cast("string")
     shaped = text.rlike(PATTERN_FLAGS + DATE_SHAPE) & ~text.startswith("0000") & ~text.endswith("\n")
-    return F.when(shaped, F.try_to_date(text, "yyyy-M-d"))
+    return F.when(shaped, F.try_to_date(F.replace(text, F.lit(" "), F.lit("")), "yyyy-M-d"))
 
 
 def strict_int(value: Column, width: str = "int") -> Column:

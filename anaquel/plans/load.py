@@ -5,11 +5,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anaquel.operators import constraints
 from anaquel.schema import NORMALISED, columns
+from anaquel.session import concurrently
 from anaquel.sources.tables import write_table
 
 CURRENT = "vigente"
@@ -59,14 +61,26 @@ def publish(tables: Mapping[str, DataFrame], folder: str) -> str:
         raise LoadRefused(f"{broken.restriccion} {broken.tabla}({broken.columnas}): {broken.infracciones}")
     spark = next(iter(tables.values())).sparkSession
     load = f"{folder.rstrip('/')}/carga-{uuid.uuid4().hex}"
-    for name, df in tables.items():
-        write_table(df.select(*columns(name)), f"{load}/{name}")
-    # Readers follow this one row, so they see the old load or the new one, never a mixture.
-    write_table(spark.range(1).select(F.lit(load).alias("value")), f"{folder.rstrip('/')}/{CURRENT}", fmt="text")
+    concurrently(lambda name: write_table(tables[name].select(*columns(name)), f"{load}/{name}"), tables)
+    # A pointer file per load, added when all its tables are there; readers follow the newest, so they see
+    # the old load or the new one, never none and never a mixture.
+    number = max((row.numero for row in _pointers(spark, folder)), default=0) + 1
+    pointer = spark.range(1).select(F.lit(number).cast("bigint").alias("numero"), F.lit(load).alias("carga"))
+    write_table(pointer.coalesce(1), f"{folder.rstrip('/')}/{CURRENT}", mode="append")
     return load
 
 
+def _pointers(spark: SparkSession, folder: str) -> list:
+    """One row per load ever published, if any; loads are few."""
+    try:
+        return spark.read.schema("numero BIGINT, carga STRING").parquet(f"{folder.rstrip('/')}/{CURRENT}").collect()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+
+
 def current_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The tables of the current load."""
-    load = spark.read.text(f"{folder.rstrip('/')}/{CURRENT}").first().value
+    load = max(_pointers(spark, folder), key=lambda row: row.numero).carga
     return {name: spark.read.schema(schema).parquet(f"{load}/{name}") for name, schema in NORMALISED.items()}

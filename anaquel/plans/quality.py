@@ -139,9 +139,8 @@ def log_lines(report: DataFrame) -> DataFrame:
     return report.select("orden", log_line(F.col("tabla"), F.col("columna"), F.col("tipo"), F.col("errores")).alias("linea"))
 
 
-def write_log(report: DataFrame, path: str) -> None:
-    """Write the log lines as text. The legacy run starts the log, later contexts add to it."""
+def write_log(report: DataFrame, path: str, starts: bool = False) -> None:
+    """Write the log lines as text. The context that ``starts`` the log replaces it, others add to it."""
     # One line per rule, so one file.
     lines = log_lines(report).coalesce(1).sortWithinPartitions("orden").select(F.col("linea").alias("value"))
-    starts = not report.filter(F.col("contexto") == "legacy").isEmpty()
     write_table(lines, path, mode="overwrite" if starts else "append", fmt="text")

@@ -14,7 +14,7 @@ from anaquel.plans import documents, elt, load, quality, reports
 from anaquel.plans.mapping import DEFAULT_MAPPING
 from anaquel.plans.rules import DEFAULT_RULES, RuleSet
 from anaquel.schema import AUDIT_LOG
-from anaquel.sources.staging import stage
+from anaquel.sources.staging import stage, staging_area
 from anaquel.sources.tables import write_table
 
 LOG, TABLES, DOCUMENTS, REPORTS, AUDIT = "errores", "normalizada", "documentos", "informes", "log_prestamos"
@@ -26,43 +26,44 @@ def run(
     folder: str,
     as_of: dt.date | None = None,
     run_time: dt.datetime | None = None,
-    mode: str = elt.COMPATIBLE,
+    mode: str = elt.STRICT,
     invalid: str = "abort",
     rules: RuleSet = DEFAULT_RULES,
     mapping: Mapping[str, dict] = DEFAULT_MAPPING,
     copy_sources: bool = False,
+    links_per_loan: int | None = None,
 ) -> DataFrame:
     """Run every stage into ``folder`` and return the number of documents per collection.
 
     A stage that fails ends the run; no stage works on the leftovers of an earlier run. The raw
     tables are read by several steps: ``copy_sources`` reads them once into the shared folder, which
-    is what a remote database wants.
+    is what a remote database wants. ``links_per_loan`` simulates the loan-book links, for raw tables
+    without lists of titles.
     """
-    if copy_sources:
-        legacy = {name: stage(legacy[name], name) for name in legacy}
-    folder = folder.rstrip("/")
-    today = F.current_date() if as_of is None else F.lit(as_of)
-    now = F.current_timestamp() if run_time is None else F.lit(run_time)
+    # What the steps stage is needed no longer when the results are written.
+    with staging_area(spark):
+        if copy_sources:
+            legacy = {name: stage(legacy[name], name) for name in legacy}
+        folder = folder.rstrip("/")
+        today = F.current_date() if as_of is None else F.lit(as_of)
+        now = F.current_timestamp() if run_time is None else F.lit(run_time)
 
-    quality.write_log(quality.quality_report(legacy, "legacy", rules), f"{folder}/{LOG}")
+        quality.write_log(quality.quality_report(legacy, "legacy", rules), f"{folder}/{LOG}", starts=True)
 
-    migration = elt.Migration(legacy, mode=mode, invalid=invalid)
-    load.publish(migration.tables(), f"{folder}/{TABLES}")
-    tables = load.current_tables(spark, f"{folder}/{TABLES}")
+        migration = elt.Migration(legacy, mode, invalid, links_per_loan)
+        load.publish(migration.tables(), f"{folder}/{TABLES}")
+        tables = load.current_tables(spark, f"{folder}/{TABLES}")
 
-    quality.write_log(quality.quality_report(tables, "normalizada", rules), f"{folder}/{LOG}")
+        quality.write_log(quality.quality_report(tables, "normalizada", rules), f"{folder}/{LOG}")
 
-    collections = documents.build_documents(tables, mapping)
-    documents.write_documents(collections, f"{folder}/{DOCUMENTS}")
+        collections = documents.build_documents(tables, mapping)
+        documents.write_documents(collections, f"{folder}/{DOCUMENTS}")
 
-    # The load has just been checked, so the reports may rely on its keys.
-    reports.create_borrow_view(spark, tables)
-    borrowed = reports.most_borrowed(tables, rely_on_keys=True)
-    write_table(borrowed, f"{folder}/{REPORTS}/libros_mas_prestados")
-    write_table(reports.top_fines(tables, today, rely_on_keys=True), f"{folder}/{REPORTS}/top_multas")
+        write_table(reports.most_borrowed(tables), f"{folder}/{REPORTS}/libros_mas_prestados")
+        write_table(reports.top_fines(tables, today), f"{folder}/{REPORTS}/top_multas")
 
-    append_audit_log(spark, tables, f"{folder}/{AUDIT}", now)
-    return documents.count_documents(collections)
+        append_audit_log(spark, tables, f"{folder}/{AUDIT}", now)
+        return documents.count_written(spark, collections, f"{folder}/{DOCUMENTS}")
 
 
 def append_audit_log(spark: SparkSession, tables: Mapping[str, DataFrame], path: str, run_time) -> None:

@@ -20,10 +20,15 @@ RUNTIME_CONF = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session the caller already has."""
-    for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
-    return spark
+    """A session of its own with the caller's settings and, over them, the runtime settings.
+
+    The caller's session stays as it is.
+    """
+    own = spark.newSession()
+    for key, value in {**spark.conf.getAll, **RUNTIME_CONF}.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return own
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:

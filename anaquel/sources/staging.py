@@ -8,6 +8,8 @@ same partitions.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,10 +33,30 @@ def shared_dir(spark: SparkSession) -> str:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+_areas: list[list[str]] = []
+
+
+@contextmanager
+def staging_area(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, the tables staged meanwhile, each by the path it was written to."""
+    paths: list[str] = []
+    _areas.append(paths)
+    try:
+        yield
+    finally:
+        _areas[:] = [area for area in _areas if area is not paths]
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in paths:
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(conf).delete(target, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and return the written table."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for paths in _areas:
+        paths.append(path)
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:

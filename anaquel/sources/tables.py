@@ -21,12 +21,17 @@ def jdbc_options(
     partition_column: str | None = None,
     lower: int | None = None,
     upper: int | None = None,
-    partitions: int = 1,
+    partitions: int | None = None,
     fetch_size: int = 10_000,
     **extra: str,
 ) -> dict[str, str]:
-    """Options of a JDBC scan, split over ``partitions`` ranges of a numeric or date column."""
+    """Options of a JDBC scan, split over ``partitions`` ranges of a numeric or date column.
+
+    A scan in one task has to be asked for, with ``partitions=1``.
+    """
     options = {"url": url, "dbtable": table, "fetchsize": str(fetch_size), **extra}
+    if partitions is None:
+        raise ValueError("name a column and a number of partitions to split the scan by, or partitions=1")
     if partitions > 1:
         if partition_column is None or lower is None or upper is None:
             raise ValueError("a split JDBC scan needs partition_column, lower and upper")

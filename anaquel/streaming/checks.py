@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -24,15 +26,24 @@ def flag_errors(df: DataFrame, table: str, context: str, rules: RuleSet = DEFAUL
 
 
 def check_stream(
-    rows: DataFrame, table: str, context: str, target: str, checkpoint: str, rules: RuleSet = DEFAULT_RULES
+    rows: DataFrame,
+    table: str,
+    context: str,
+    target: str,
+    checkpoint: str,
+    rules: RuleSet = DEFAULT_RULES,
+    trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
-    """Write the marked rows to ``target``, kept and rejected ones in folders of their own."""
+    """Write the marked rows to ``target``, kept and rejected ones in folders of their own.
+
+    ``trigger`` is that of the query, by default what is there now and no more.
+    """
     return (
         flag_errors(rows, table, context, rules)
         .writeStream.format("parquet")
         .partitionBy("rechazada")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )

@@ -54,7 +54,8 @@ def test_range_matches_python_int(spark):
 DATES = [
     "2024-01-05", "2024-1-5", "2024-02-30", "2024-001-05", "12024-01-01", "24-01-01", "None", None, "2024-01-05 ",
     "2024-01-05T00", "2024/01/05", "+2024-01-05", "0000-01-01", "2024-01-05\n", "2023-02-29", "2024-02-29", "",
-    "2024-13-01", "2024-00-10", "2024-1-00", "0001-01-01", "9999-12-31",
+    "2024-13-01", "2024-00-10", "2024-1-00", "0001-01-01", "9999-12-31", "2024-01- 5", "2024-1- 9", "2024- 1-05", "2024-01- 0",
+    "2024-02- 30", "2024-01-  5", " 2024-01-05",
 ]
 
 

@@ -77,11 +77,21 @@ def test_log_starts_with_legacy_and_grows(spark, tmp_path):
     later = {"T": [{"columna": "calificacion", "tipo_validacion": "rango_numerico", "min": 1, "max": 5, "contexto": "normalizada"}]}
     path = str(tmp_path / "log")
     for _ in range(2):
-        quality.write_log(quality.quality_report(tables, "legacy"), path)
+        quality.write_log(quality.quality_report(tables, "legacy"), path, starts=True)
         quality.write_log(quality.quality_report({"t": tables["resenas_usuarios"]}, "normalizada", later), path)
     assert spark.read.text(path).count() == 6
 
 
+def test_log_without_a_rule_of_the_starting_context(spark, tmp_path):
+    tables = {"t": synthetic_legacy(spark, 10)["resenas_usuarios"]}
+    later = {"T": [{"columna": "calificacion", "tipo_validacion": "rango_numerico", "min": 1, "max": 5, "contexto": "normalizada"}]}
+    path = str(tmp_path / "log")
+    for _ in range(2):
+        quality.write_log(quality.quality_report(tables, "legacy", later), path, starts=True)
+        quality.write_log(quality.quality_report(tables, "normalizada", later), path)
+    assert spark.read.text(path).count() == 1
+
+
 def test_compare_contexts(spark):
     schema = "contexto STRING, tipo STRING, errores BIGINT"
     before = spark.createDataFrame([("legacy", "regex", 3), ("legacy", "multivalor", 5)], schema)

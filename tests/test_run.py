@@ -28,7 +28,7 @@ GOLDEN_NORMALISED = [
 def test_whole_run(spark, rows, tmp_path):
     moment = dt.datetime(2026, 12, 1, 9)
     for times in (1, 2):
-        counts = run(spark, synthetic_legacy(spark), str(tmp_path), moment.date(), moment)
+        counts = run(spark, synthetic_legacy(spark), str(tmp_path), moment.date(), moment, links_per_loan=3)
         got = {r.coleccion: r.documentos for r in counts.collect()}
         assert got == {"libros": 250, "usuarios": 250, "prestamos": 250, "inventario": 250}
         log = sorted(r.value for r in spark.read.text(str(tmp_path / "errores")).collect())
@@ -83,6 +83,14 @@ def test_batch_that_runs_again_changes_nothing(spark, shop, rows, tmp_path):
     assert rows(spark.read.parquet(target), "secuencia", "id_prestamo", "resultado") == before
 
 
+def test_work_of_a_batch_does_not_grow_with_the_batches(spark, shop, tmp_path):
+    target, day = str(tmp_path / "out"), F.lit(dt.date(2026, 3, 1))
+    for n in range(4):
+        register_batch(spark.createDataFrame([(n, "a@x.c", 1, "Activo")], REQUESTS), n, shop, target, day)
+        state = spark.read.parquet(f"{target}_estado/batch={n}").collect()
+        assert [(r.id_libro, r.aceptados, r.ultimo) for r in state] == [(1, min(n + 1, 3), 10 + min(n + 1, 3))]
+
+
 def test_checked_stream(spark, rows, tmp_path):
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
     schema = "id_prestamo BIGINT, correo_usuario STRING, libros_prestados STRING"
@@ -118,6 +126,8 @@ def test_files_round_trip(spark, tmp_path, rows):
 def test_jdbc_options():
     options = io.jdbc_options("jdbc:x", "t", "id", 1, 1000, 8, user="u")
     assert options["numPartitions"] == "8" and options["partitionColumn"] == "id" and options["user"] == "u"
-    assert "numPartitions" not in io.jdbc_options("jdbc:x", "t")
+    assert "numPartitions" not in io.jdbc_options("jdbc:x", "t", partitions=1)
+    with pytest.raises(ValueError):
+        io.jdbc_options("jdbc:x", "t")
     with pytest.raises(ValueError):
         io.jdbc_options("jdbc:x", "t", partitions=4)
