@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from anaquel.llm import decontam, minhash
 from anaquel.llm.bpe import op7_byte_bpe
 from anaquel.llm.chat import op3_chat_format
 from anaquel.llm.decontam import op5_decontamination
@@ -26,4 +27,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Those that SQL can express; the others are tested against brute force or the public libraries."""
+    return {"op5_decontamination": decontam.ORACLE, "op9_minhash": minhash.ORACLE}

@@ -250,6 +250,25 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
-        "longest",
-        "longest_at",
     )
+
+
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+ORACLE = f"""
+    WITH d AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+    i AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS ws FROM benchmark),
+    sized AS (SELECT item, ws, least({WINDOW}, len(ws)) AS k FROM i WHERE len(ws) > 0),
+    windows AS (SELECT DISTINCT item, k, array_to_string(ws[s:s + k - 1], ' ') AS w
+                FROM (SELECT *, unnest(range(1, len(ws) - k + 2)) AS s FROM sized)),
+    places AS (SELECT doc_id, k, s, array_to_string(ws[s:s + k - 1], ' ') AS w
+               FROM (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS s FROM d, (SELECT DISTINCT k FROM windows))),
+    found AS (SELECT doc_id, k, s, item FROM places JOIN windows USING (k, w)),
+    hits AS (SELECT doc_id, count(DISTINCT pos) AS n FROM (SELECT doc_id, unnest(range(s, s + k)) AS pos FROM found) GROUP BY doc_id),
+    items AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids
+              FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+    SELECT d.doc_id, len(ws) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(t.n, 0) AS n_items,
+           sha256(coalesce(ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+    FROM d LEFT JOIN hits h ON h.doc_id = d.doc_id LEFT JOIN items t ON t.doc_id = d.doc_id"""

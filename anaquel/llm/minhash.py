@@ -235,3 +235,21 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
+
+
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x20\x09-\x0D]+')"
+)
+ORACLE = f"""
+    WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+    s AS (SELECT doc_id, CASE WHEN len(ws) >= {SHINGLE} THEN
+                 list_distinct([array_to_string(ws[i:i + {SHINGLE - 1}], ' ') FOR i IN range(1, len(ws) - {SHINGLE - 2})])
+                 WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS shingles FROM w),
+    e AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS g FROM s),
+    pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) + any_value(b.n) AS n, count(*) AS c
+              FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+    links AS (SELECT a, b FROM pairs WHERE 100 * c >= {PERCENT} * (n - c) UNION SELECT b, a FROM pairs WHERE 100 * c >= {PERCENT} * (n - c)),
+    reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+    SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM s JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) ON a = doc_id"""
