@@ -146,7 +146,8 @@ def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
                 flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
                 yield with_arrays(group, ["id"], shingles=pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)))
 
-    rows = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi")
+    # By a shuffle at every size: the ids grow with the corpus.
+    rows = docs.select(F.col("doc_id").alias("id"), "text").join(ids.hint("shuffle_merge"), "id", "left_semi")
     return rows.mapInArrow(run, schema_of(rows.drop("text"), shingles="array<bigint>"))
 
 
@@ -166,10 +167,8 @@ def _plausible(percent: int) -> Column:
     return sizes & (estimate(F.col("bits_a"), F.col("bits_b")) >= percent / 100 - SLACK)
 
 
-def _confirm(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def _confirm(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a``, ``b`` whose full sets are as similar as asked."""
-    named = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = stage(full_sets(docs, named).dropDuplicates(["id"]), "shingle_sets")
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b"))
     shared = F.size(F.array_intersect("set_a", "set_b"))
@@ -198,13 +197,15 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     shared = banded.groupBy("band").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("band", "hub")
     meeting = stage(banded.join(stage(shared, "buckets"), "band"), "met")
     light = members.select("id", "n_shingles", "bits")
+    # The full sets of all classes that share a band with another one, from one more pass over the texts.
+    sets = stage(full_sets(docs, meeting.select("id").distinct()).dropDuplicates(["id"]), "shingle_sets")
 
     def side(name: str) -> DataFrame:
         return light.select(F.col("id").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("bits").alias(f"bits_{name}"))
 
     to_hub = meeting.filter("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     first = stage(to_hub.join(side("b"), "b").join(side("a"), "a").filter(_plausible(percent)).select("a", "b"), "hub_pairs")
-    links = _confirm(docs, first, percent)
+    links = _confirm(sets, first, percent)
     labels = components(links)
     # Buckets where different components still meet.
     labelled = meeting.select("band", "id").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("component", "id"))
@@ -219,7 +220,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     across = half("a").join(half("b"), "band").filter((F.col("label_a") < F.col("label_b")) & _plausible(percent))
     second = stage(across.select("a", "b").distinct(), "cross_pairs")
-    links = links.unionByName(_confirm(docs, second, percent))
+    links = links.unionByName(_confirm(sets, second, percent))
     labels = components(links)
     by_key = stage(
         classes.join(labels.withColumnRenamed("node", "id"), "id", "left").select("set_key", F.coalesce("component", "id").alias("component_id")), "class_labels"
