@@ -4,11 +4,12 @@ A text is the set of its distinct 5-word shingles. Equal sets are one class, kno
 document; everything after works on classes. A class has ``HASHES`` minima; rows of five of them are
 the keys of 51 bands, and of each minimum the two lowest bits are kept, packed in eight 64-bit words.
 
-Candidates share a band. They come in two rounds, neither of which emits the pairs of a group:
+Candidates share a band. They come in three rounds, none of which emits the pairs of a group:
 
-1. every member of a band's bucket is paired with the bucket's smallest class;
-2. links confirmed so far give components, and only members of different components that still meet in
-   a bucket are compared, inside the join.
+1. every class is paired with the smallest class it shares a band with;
+2. links confirmed so far give components; where different ones still meet in a bucket, the smallest class
+   of each is paired with the smallest of the bucket;
+3. members of different components that meet even so are compared, inside the join.
 
 A candidate passes if its sizes allow the similarity and if the agreement of the packed bits, corrected for
 accidental collisions (a quarter for two bits), is within five standard deviations of it. Then it is
@@ -203,15 +204,26 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     def side(name: str) -> DataFrame:
         return light.select(F.col("id").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("bits").alias(f"bits_{name}"))
 
-    to_hub = meeting.filter("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    first = stage(to_hub.join(side("b"), "b").join(side("a"), "a").filter(_plausible(percent)).select("a", "b"), "hub_pairs")
-    links = _confirm(sets, first, percent)
-    labels = components(links)
-    # Buckets where different components still meet.
-    labelled = meeting.select("band", "id").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("component", "id"))
-    labelled = stage(labelled.select("band", "id", "label"), "labelled")
-    mixed = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("band")
-    open_rows = stage(labelled.join(stage(mixed, "mixed"), "band").join(light, "id"), "open_rows")
+    def plausible(pairs: DataFrame, name: str) -> DataFrame:
+        return stage(pairs.join(side("b"), "b").join(side("a"), "a").filter(_plausible(percent)).select("a", "b"), name)
+
+    def still_open(links: DataFrame) -> DataFrame:
+        """The classes, with their labels, in buckets where different components meet."""
+        labels = components(links).withColumnRenamed("node", "id")
+        labelled = stage(meeting.select("band", "id").join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")), "labelled")
+        mixed = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("band")
+        return stage(labelled.join(stage(mixed, "mixed"), "band").select("band", "id", "label"), "open_rows")
+
+    # Round 1: each class with the smallest class it shares a band with.
+    nearest = meeting.filter("id != hub").groupBy(F.col("id").alias("b")).agg(F.min("hub").alias("a"))
+    links = _confirm(sets, plausible(nearest, "nearest_pairs"), percent)
+    # Round 2: where components still meet, the smallest class of each with the smallest of the bucket.
+    fronts = still_open(links).groupBy("band", "label").agg(F.min("id").alias("b"))
+    hubs = fronts.groupBy("band").agg(F.min("b").alias("a"))
+    to_hub = fronts.join(stage(hubs, "hubs"), "band").filter("a != b").select("a", "b").distinct()
+    links = stage(links.unionByName(_confirm(sets, plausible(to_hub, "hub_pairs"), percent)), "links")
+    # Round 3: the classes of different components that meet even so, compared inside the join.
+    open_rows = stage(still_open(links).join(light, "id"), "open_rows")
 
     def half(name: str) -> DataFrame:
         return open_rows.select(
@@ -220,8 +232,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     across = half("a").join(half("b"), "band").filter((F.col("label_a") < F.col("label_b")) & _plausible(percent))
     second = stage(across.select("a", "b").distinct(), "cross_pairs")
-    links = links.unionByName(_confirm(sets, second, percent))
-    labels = components(links)
+    labels = components(links.unionByName(_confirm(sets, second, percent)))
     by_key = stage(
         classes.join(labels.withColumnRenamed("node", "id"), "id", "left").select("set_key", F.coalesce("component", "id").alias("component_id")), "class_labels"
     )
