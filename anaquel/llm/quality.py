@@ -123,6 +123,11 @@ def _named(column: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("-"))
 
 
+def _small(estimates: DataFrame, name: str) -> DataFrame:
+    """A staged table with one row a group, in few files: its size on disk then tells whether it can be broadcast."""
+    return stage(estimates.coalesce(4), name)
+
+
 def _grouped(vectors: DataFrame) -> DataFrame:
     """The rows with ``key``, the group they are estimated in; null where there are too few."""
     own = F.concat(_named("lang"), F.lit("\x01"), _named("source"))
@@ -133,7 +138,7 @@ def _grouped(vectors: DataFrame) -> DataFrame:
     keys = sizes.join(pools, "pool", "left").select(
         "own", F.when(F.col("n") >= LEAST, F.col("own")).when(F.col("pooled") >= LEAST, F.col("pool")).alias("key")
     )
-    return rows.drop("pool").join(stage(keys, "mcd_keys"), "own", "left").drop("own")
+    return rows.drop("pool").join(_small(keys, "mcd_keys"), "own", "left").drop("own")
 
 
 def _distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
@@ -152,7 +157,7 @@ def _distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
 def _first_estimates(rows: DataFrame) -> DataFrame:
     """Medians, and absolute deviations as a diagonal covariance."""
     names = list(FEATURES)
-    medians = stage(rows.groupBy("key").agg(*[F.percentile_approx(n, 0.5, ACCURACY).alias(f"m_{i}") for i, n in enumerate(names)]), "mcd_medians")
+    medians = _small(rows.groupBy("key").agg(*[F.percentile_approx(n, 0.5, ACCURACY).alias(f"m_{i}") for i, n in enumerate(names)]), "mcd_medians")
     deviations = rows.join(medians, "key").groupBy("key").agg(
         *[F.first(f"m_{i}").alias(f"m_{i}") for i in range(len(names))],
         *[F.percentile_approx(F.abs(F.col(n) - F.col(f"m_{i}")), 0.5, ACCURACY).alias(f"v_{i}") for i, n in enumerate(names)],
@@ -169,7 +174,7 @@ def _concentrate(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     """One step: mean and covariance of the share of each group that is nearest by ``estimates``."""
     names, p = list(FEATURES), len(FEATURES)
     near = _distance(rows, estimates)
-    limits = stage(near.groupBy("key").agg(F.percentile_approx("d", SUPPORT, ACCURACY).alias("limit")), "mcd_limits")
+    limits = _small(near.groupBy("key").agg(F.percentile_approx("d", SUPPORT, ACCURACY).alias("limit")), "mcd_limits")
     inner = near.join(limits, "key").filter(F.col("d") <= F.col("limit"))
     # Sums around the last mean, for accuracy, would need it again; the statistics are of the order of 1.
     moments = inner.groupBy("key").agg(
@@ -189,9 +194,9 @@ def judge(docs: DataFrame) -> DataFrame:
     """``doc_id``, the base statistics, ``base_failed``, ``distance`` (null if not judged) and ``kept``."""
     staged = stage(_grouped(_vectors(stage(base_statistics(docs, "lang", "source"), "quality_base"))), "quality_rows")
     judged = staged.filter(~F.col("base_failed") & F.col("key").isNotNull())
-    estimates = stage(_first_estimates(judged), "mcd_estimates")
+    estimates = _small(_first_estimates(judged), "mcd_estimates")
     for _ in range(STEPS):
-        estimates = stage(_concentrate(judged, estimates), "mcd_estimates")
+        estimates = _small(_concentrate(judged, estimates), "mcd_estimates")
     distances = _distance(staged, estimates)
     distance = F.when(~F.col("base_failed") & F.col("key").isNotNull(), F.col("d"))
     return distances.withColumn("distance", distance).select(
