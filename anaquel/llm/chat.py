@@ -13,7 +13,7 @@ the turns before it as fit the history. Only assistant texts that appear for the
 the loss mask; repeated ones are masked out. A system turn without a window to lead gets its own.
 
 Defined results: null texts and roles are empty; a null conv_id is a conversation like others; turns are
-ordered by turn (nulls first), role and text, repeated rows are turns of their own; an empty table gives
+ordered by turn (nulls first), escaped role and text, repeated rows are turns of their own; an empty table gives
 no rows; other columns are ignored. A long conversation is spread over tasks; only a digest of a whole
 conversation, as the query returns, brings its windows together.
 """
@@ -58,21 +58,13 @@ def chat_windows(conversations: DataFrame, budget: int = BUDGET, history: int =
     """
     if not 0 <= history <= budget // 4:
         raise ValueError("the history can take at most a quarter of the budget")
-    raw = conversations.select(
+    rows = conversations.select(
         "conv_id",
         "turn",
-        *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")],
-    )
-    rows = raw.select(
-        "conv_id",
-        "turn",
-        F.col("role").alias("raw_role"),
-        F.col("text").alias("raw_text"),
-        escape(F.col("role")).alias("role"),
-        escape(F.col("text")).alias("text"),
+        *[escape(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c) for c in ("role", "text")],
     ).withColumn("tokens", tokens(_turn(F.struct("role", "text"))))
-    is_system = F.col("raw_role") == "system"
-    order = [F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "raw_role", "raw_text")]
+    is_system = F.col("role") == "system"
+    order = [F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "role", "text")]
     summed = prefix_sums(
         rows,
         "conv_id",
