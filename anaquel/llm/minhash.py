@@ -208,22 +208,25 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         return stage(pairs.join(side("b"), "b").join(side("a"), "a").filter(_plausible(percent)).select("a", "b"), name)
 
     def still_open(links: DataFrame) -> DataFrame:
-        """The classes, with their labels, in buckets where different components meet."""
+        """The classes, with labels, sizes and bits, in buckets where different components meet."""
         labels = components(links).withColumnRenamed("node", "id")
         labelled = stage(meeting.select("band", "id").join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")), "labelled")
         mixed = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("band")
-        return stage(labelled.join(stage(mixed, "mixed"), "band").select("band", "id", "label"), "open_rows")
+        return stage(labelled.join(stage(mixed, "mixed"), "band").join(light, "id"), "open_rows")
 
     # Round 1: each class with the smallest class it shares a band with.
     nearest = meeting.filter("id != hub").groupBy(F.col("id").alias("b")).agg(F.min("hub").alias("a"))
     links = _confirm(sets, plausible(nearest, "nearest_pairs"), percent)
     # Round 2: where components still meet, the smallest class of each with the smallest of the bucket.
-    fronts = still_open(links).groupBy("band", "label").agg(F.min("id").alias("b"))
-    hubs = fronts.groupBy("band").agg(F.min("b").alias("a"))
-    to_hub = fronts.join(stage(hubs, "hubs"), "band").filter("a != b").select("a", "b").distinct()
-    links = stage(links.unionByName(_confirm(sets, plausible(to_hub, "hub_pairs"), percent)), "links")
+    smallest = F.min(F.struct("id", "n_shingles", "bits"))
+    fronts = still_open(links).groupBy("band", "label").agg(smallest.alias("f"))
+    fronts = stage(fronts.select("band", F.col("f.id").alias("b"), F.col("f.n_shingles").alias("n_b"), F.col("f.bits").alias("bits_b")), "fronts")
+    hubs = fronts.groupBy("band").agg(F.min(F.struct("b", "n_b", "bits_b")).alias("h"))
+    hubs = stage(hubs.select("band", F.col("h.b").alias("a"), F.col("h.n_b").alias("n_a"), F.col("h.bits_b").alias("bits_a")), "hubs")
+    to_hub = stage(fronts.join(hubs, "band").filter((F.col("a") != F.col("b")) & _plausible(percent)).select("a", "b").distinct(), "hub_pairs")
+    links = stage(links.unionByName(_confirm(sets, to_hub, percent)), "links")
     # Round 3: the classes of different components that meet even so, compared inside the join.
-    open_rows = stage(still_open(links).join(light, "id"), "open_rows")
+    open_rows = still_open(links)
 
     def half(name: str) -> DataFrame:
         return open_rows.select(
