@@ -8,8 +8,8 @@ The others are judged by the minimum covariance determinant, per language and so
 vector of transformed statistics; starting from medians and absolute deviations, the share ``SUPPORT`` of
 the group's documents with the smallest distances gives a mean and a covariance, these give new distances,
 and so on for a fixed number of concentration steps. Documents whose squared Mahalanobis distance is beyond
-``CUTOFF`` are rejected. A floor on every variance keeps statistics that are nearly always 0 from rejecting
-ordinary documents.
+``CUTOFF`` are rejected. A variance below a small floor, as that of a statistic that is nearly always 0, is the
+floor; all others are as estimated.
 
 Medians and shares come from mergeable sketches and moments from sums, so a group of any size is combined
 before the shuffle and never gathered; each step's estimates, one row a group, are staged, and their written
@@ -36,17 +36,17 @@ WINDOW = 8
 MIN_WORDS, MAX_REPEATED_PERCENT = 20, 30
 
 SUPPORT, STEPS, LEAST = 0.75, 4, 50
-# Chi-square with five degrees of freedom exceeds it once in ten million.
-CUTOFF = 41.4
+# Chi-square with five degrees of freedom exceeds it once in ten thousand.
+CUTOFF = 25.74
 # Makes the covariance of the inner 75 % of a normal sample in five dimensions that of the whole.
 CONSISTENCY = 1.41
-# Transformed statistics with the least standard deviation each is given.
+# Transformed statistics with the least standard deviation each can have.
 FEATURES = {
-    "f_length": 0.5,
+    "f_length": 0.2,
     "f_word": 0.1,
-    "f_symbols": 0.07,
-    "f_lines": 0.12,
-    "f_repeats": 0.12,
+    "f_symbols": 0.05,
+    "f_lines": 0.07,
+    "f_repeats": 0.08,
 }
 ACCURACY = 2000
 
@@ -163,7 +163,7 @@ def _first_estimates(rows: DataFrame) -> DataFrame:
         *[F.percentile_approx(F.abs(F.col(n) - F.col(f"m_{i}")), 0.5, ACCURACY).alias(f"v_{i}") for i, n in enumerate(names)],
     )
     factors = {
-        f"l_{i}_{j}": F.sqrt(F.pow(1.4826 * F.col(f"v_{i}"), 2) + floor * floor) if i == j else F.lit(0.0)
+        f"l_{i}_{j}": F.greatest(1.4826 * F.col(f"v_{i}"), F.lit(floor)) if i == j else F.lit(0.0)
         for i, floor in enumerate(FEATURES.values())
         for j in range(i + 1)
     }
@@ -183,10 +183,10 @@ def _concentrate(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     )
     for i, floor in enumerate(FEATURES.values()):
         for j in range(i + 1):
-            rest = F.col(f"c_{i}_{j}") * CONSISTENCY + F.lit(floor * floor if i == j else 0.0)
+            rest = F.col(f"c_{i}_{j}") * CONSISTENCY
             for k in range(j):
                 rest = rest - F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}")
-            moments = moments.withColumn(f"l_{i}_{j}", F.sqrt(F.greatest(rest, F.lit(1e-12))) if i == j else rest / F.col(f"l_{j}_{j}"))
+            moments = moments.withColumn(f"l_{i}_{j}", F.sqrt(F.greatest(rest, F.lit(floor * floor))) if i == j else rest / F.col(f"l_{j}_{j}"))
     return moments.drop(*[c for c in moments.columns if c.startswith("c_")])
 
 

@@ -46,3 +46,20 @@ def test_outliers_go_and_ordinary_documents_stay(spark):
     judged = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows, corpus.SCHEMA).repartition(3)).collect()}
     assert all(judged[d].kept == ("$$$" not in text) for d, text, *_ in rows)
     assert judged[9999].distance is None and judged[0].distance > quality.CUTOFF
+
+
+def test_moderate_outliers_go(spark):
+    """A fifth of symbols, a quarter of repeated words, or many repeated lines, beside clean documents."""
+    rng = random.Random(10)
+    clean = [corpus.text(rng, "aa", rng.randint(100, 300)) for _ in range(150)]
+    odd = []
+    for _ in range(3):
+        words = corpus.text(rng, "aa", 200).split()
+        odd.append(" ".join(w + "#" * round(len(w) / 5) for w in words))
+        odd.append(" ".join(words + words[:25] + ["x"] + words[:25]))
+        odd.append("\n".join(w for i in range(0, 150, 3) for w in (" ".join(words[i : i + 3]), "so it is" if i % 2 else " ".join(words[i : i + 3]) + "!")))
+    rows = [(i, t, "aa", "s", len(t)) for i, t in enumerate(clean + odd)]
+    judged = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows, corpus.SCHEMA).repartition(3)).collect()}
+    assert not any(judged[i].base_failed for i in judged)
+    assert not any(judged[i].kept for i in range(150, len(rows)))
+    assert sum(judged[i].kept for i in range(150)) >= 148
