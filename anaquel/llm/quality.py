@@ -16,8 +16,8 @@ before the shuffle and never gathered; each step's estimates, one row a group, a
 size decides how they are joined.
 
 Defined results: a null text has no words and fails; null languages and sources are values of their own;
-groups under ``LEAST`` documents are estimated together per language, and if those are still too few the
-method keeps them; repeated rows count as often as they come; an empty table gives no rows; other columns
+documents of groups under ``LEAST`` are judged by an estimate over all documents of their language, and if that
+has too few as well, over the whole corpus; the cut-off widens with the few documents an estimate rests on; repeated rows count as often as they come; an empty table gives no rows; other columns
 are ignored.
 """
 
@@ -129,14 +129,20 @@ def _small(estimates: DataFrame, name: str) -> DataFrame:
 
 
 def _grouped(vectors: DataFrame) -> DataFrame:
-    """The rows with ``key``, the group they are estimated in; null where there are too few."""
+    """The rows with ``key``, the group they are judged by, and ``feeds``, all groups they are part of the estimate of."""
     own = F.concat(_named("lang"), F.lit("\x01"), _named("source"))
     rows = vectors.withColumn("own", own).withColumn("pool", F.concat(_named("lang"), F.lit("\x02")))
-    # One row per language and source; small ones join the pool of their language.
-    sizes = rows.filter(~F.col("base_failed")).groupBy("own", "pool").agg(F.count(F.lit(1)).alias("n"))
-    pools = sizes.filter(F.col("n") < LEAST).groupBy("pool").agg(F.sum("n").alias("pooled"))
-    keys = sizes.join(pools, "pool", "left").select(
-        "own", F.when(F.col("n") >= LEAST, F.col("own")).when(F.col("pooled") >= LEAST, F.col("pool")).alias("key")
+    # One row per language and source, then one per language.
+    sizes = _small(rows.filter(~F.col("base_failed")).groupBy("own", "pool").agg(F.count(F.lit(1)).alias("n")), "mcd_sizes")
+    pools = sizes.groupBy("pool").agg(F.sum("n").alias("pooled"), F.min("n").alias("least"))
+    # Estimates that judge nobody are not made.
+    whole = F.when(F.lit(pools.filter(F.col("pooled") < LEAST).limit(1).count() > 0), F.lit("\x03"))
+    large, known = F.col("n") >= LEAST, F.col("pooled") >= LEAST
+    pool = F.when(known & (F.col("least") < LEAST), F.col("pool"))
+    keys = sizes.join(pools, "pool").select(
+        "own",
+        F.when(large, F.col("own")).when(known, F.col("pool")).otherwise(whole).alias("key"),
+        F.array_compact(F.array(F.when(large, F.col("own")), pool, whole)).alias("feeds"),
     )
     return rows.drop("pool").join(_small(keys, "mcd_keys"), "own", "left").drop("own")
 
@@ -151,7 +157,7 @@ def _distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
             rest = rest - F.col(f"l_{i}_{j}") * F.col(f"y_{j}")
         joined = joined.withColumn(f"y_{i}", rest / F.col(f"l_{i}_{i}"))
     squares = sum((F.col(f"y_{i}") * F.col(f"y_{i}") for i in range(1, len(names))), F.col("y_0") * F.col("y_0"))
-    return joined.withColumn("d", squares).drop(*estimates.columns[1:], *[f"y_{i}" for i in range(len(names))])
+    return joined.withColumn("d", squares).drop(*[c for c in estimates.columns if c[:2] in ("m_", "l_")], *[f"y_{i}" for i in range(len(names))])
 
 
 def _first_estimates(rows: DataFrame) -> DataFrame:
@@ -173,11 +179,12 @@ def _first_estimates(rows: DataFrame) -> DataFrame:
 def _concentrate(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     """One step: mean and covariance of the share of each group that is nearest by ``estimates``."""
     names, p = list(FEATURES), len(FEATURES)
-    near = _distance(rows, estimates)
+    near = _distance(rows, estimates).drop("inner")
     limits = _small(near.groupBy("key").agg(F.percentile_approx("d", SUPPORT, ACCURACY).alias("limit")), "mcd_limits")
     inner = near.join(limits, "key").filter(F.col("d") <= F.col("limit"))
     # Sums around the last mean, for accuracy, would need it again; the statistics are of the order of 1.
     moments = inner.groupBy("key").agg(
+        F.count(F.lit(1)).alias("inner"),
         *[F.avg(n).alias(f"m_{i}") for i, n in enumerate(names)],
         *[F.covar_pop(names[i], names[j]).alias(f"c_{i}_{j}") for i in range(p) for j in range(i + 1)],
     )
@@ -193,12 +200,16 @@ def _concentrate(rows: DataFrame, estimates: DataFrame) -> DataFrame:
 def judge(docs: DataFrame) -> DataFrame:
     """``doc_id``, the base statistics, ``base_failed``, ``distance`` (null if not judged) and ``kept``."""
     staged = stage(_grouped(_vectors(stage(base_statistics(docs, "lang", "source"), "quality_base"))), "quality_rows")
-    judged = staged.filter(~F.col("base_failed") & F.col("key").isNotNull())
-    estimates = _small(_first_estimates(judged), "mcd_estimates")
+    # A document counts in every group it feeds.
+    feeding = staged.filter(~F.col("base_failed")).withColumn("key", F.explode("feeds")).select("key", *FEATURES)
+    estimates = _small(_first_estimates(feeding), "mcd_estimates")
     for _ in range(STEPS):
-        estimates = _small(_concentrate(judged, estimates), "mcd_estimates")
+        estimates = _small(_concentrate(feeding, estimates), "mcd_estimates")
     distances = _distance(staged, estimates)
-    distance = F.when(~F.col("base_failed") & F.col("key").isNotNull(), F.col("d"))
+    distance = F.when(~F.col("base_failed"), F.col("d"))
+    # Distances to an estimate from few documents are larger; as many as there are dimensions tell nothing.
+    p = len(FEATURES)
+    cutoff = F.when(F.col("inner") > p, CUTOFF * F.col("inner") / (F.col("inner") - p)).otherwise(float("inf"))
     return distances.withColumn("distance", distance).select(
         "doc_id",
         "n_words",
@@ -207,7 +218,7 @@ def judge(docs: DataFrame) -> DataFrame:
         "n_dup_lines",
         "n_repeat_words",
         "base_failed",
-        (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= CUTOFF)).alias("kept"),
+        (~F.col("base_failed") & (F.col("distance") <= cutoff)).alias("kept"),
         "distance",
     )
 

@@ -63,3 +63,19 @@ def test_moderate_outliers_go(spark):
     assert not any(judged[i].base_failed for i in judged)
     assert not any(judged[i].kept for i in range(150, len(rows)))
     assert sum(judged[i].kept for i in range(150)) >= 148
+
+
+def test_small_groups_are_judged(spark):
+    """By all documents of their language, or of the corpus; a lone corpus of a few documents is kept."""
+    rng = random.Random(11)
+    rows = [(i, corpus.text(rng, "aa", rng.randint(100, 300)), "aa", "large", 0) for i in range(150)]
+    rows += [(1000 + i, corpus.text(rng, "aa", rng.randint(100, 300)), "aa", "small", 0) for i in range(10)]
+    rows += [(2000, corpus.text(rng, "aa", 200), "cc", None, 0)]
+    decorated = " ".join(w + "$$$" for w in corpus.text(rng, "aa", 200).split())
+    rows += [(3000, decorated, "aa", "small", 0), (3001, decorated, "cc", None, 0), (3002, decorated, None, "rare", 0)]
+    judged = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows, corpus.SCHEMA).repartition(3)).collect()}
+    assert all(r.distance is not None for r in judged.values())
+    assert not any(judged[d].kept for d in (3000, 3001, 3002))
+    assert judged[2000].kept and sum(judged[1000 + i].kept for i in range(10)) >= 9
+    few = quality.judge(spark.createDataFrame(rows[:4], corpus.SCHEMA)).collect()
+    assert all(r.kept and r.distance is not None for r in few)
