@@ -6,7 +6,7 @@ pre-token is a token. Only a miss is merged: its bytes form a
 linked list, and a heap of adjacent pairs by rank (leftmost first) merges until no known pair is left.
 
 Every task builds the hash from the vocabulary file (its size is that of the file), keeps a bounded
-memory of resolved pre-tokens, and streams its Arrow batches in groups of bytes, so memory does not
+memory of resolved pre-tokens (the worker's next task finds it), and streams its Arrow batches in groups of bytes, so memory does not
 grow with the table. Very long texts are cut where no pre-token spans the cut.
 
 Defined results: a null or empty text has no ids, and no ids decode to no bytes; repeated rows and null
@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections import ChainMap
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -34,9 +33,8 @@ from anaquel.llm.common import rows_by_bytes, safe_pieces, schema_of, table, tok
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 GROUP_BYTES = 1 << 20
-# Pre-tokens of up to so many characters are remembered, so many of them.
-SHORT, MEMORY = 48, 200_000
-ID_BITS = 20
+# Pre-tokens of up to so many characters are remembered: so many recent ones, and as many from before.
+SHORT, MEMORY = 48, 250_000
 POSITION = (1 << 40) - 1
 # Below this code point all tables of letters and numbers agree.
 BEYOND = regex.compile("[\u0558-\U0010ffff]").search
@@ -109,18 +107,9 @@ class Codec:
             .replace(r"\p{L}+", rf"[^\P{{L}}{later}]+")
             .replace(r"\p{N}+", rf"[^\P{{N}}{later}]+")
         ).findall
-        single = [ranks[bytes([i])] for i in range(256)]
-        self.single = single
-        # Pairs of ids whose bytes together are a token, by both ids in one number.
-        self.pairs = {
-            ranks[token[:cut]] << ID_BITS | ranks[token[cut:]]: rank
-            for token, rank in ranks.items()
-            for cut in range(1, len(token))
-            if token[:cut] in ranks and token[cut:] in ranks
-        }
         self.hash = PerfectHash(list(ranks))
         self.keys: list[bytes] = [b""] * len(ranks)
-        self.ids = np.zeros(len(ranks), np.int64)
+        self.ids = np.zeros(len(ranks), np.int32)
         for slot, (token, rank) in zip(self.hash.slots(list(ranks)).tolist(), ranks.items()):
             self.keys[slot], self.ids[slot] = token, rank
         top = max(ranks.values(), default=-1) + 1
@@ -130,60 +119,93 @@ class Codec:
         self.bytes = np.frombuffer(b"".join(by_id), np.uint8)
         self.lengths = np.fromiter(map(len, by_id), np.int64, top)
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)])[:-1]
-        self.known: dict[str, list[int]] = {}
+        # Ids (as bytes) of short pre-tokens met lately, and of those met before them.
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def split(self, text: str) -> list[str]:
         return self.split_common(text) if text.isascii() or not BEYOND(text) else self.split_exact(text)
 
     def merge(self, piece: bytes) -> list[int]:
-        """Ids of one pre-token that is not a token: merge the lowest-ranked pair, leftmost first."""
-        pairs = self.pairs
-        ids = list(map(self.single.__getitem__, piece))
-        n = len(ids)
-        following, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        # A heap entry is the rank of the merged pair above the position of its left part.
-        heap = [r << 40 | i for i in range(n - 1) if (r := pairs.get(ids[i] << ID_BITS | ids[i + 1])) is not None]
+        """Ids of one pre-token that is not a token: merge the lowest-ranked pair, leftmost first.
+
+        The bytes are linked: a part goes from its start to ``following``, where the next one starts.
+        """
+        ranks, rank_of, n = self.ranks, self.ranks.get, len(piece)
+        following, before = list(range(1, n + 1)), list(range(-1, n))
+        # Rank of the pair that starts at each place, -1 without one. A heap entry is the rank above the place.
+        pair = [rank_of(piece[i : i + 2], -1) for i in range(n - 1)]
+        pair.append(-1)
+        heap = [r << 40 | i for i, r in enumerate(pair) if r >= 0]
         heapq.heapify(heap)
         while heap:
             entry = heapq.heappop(heap)
-            rank, i = entry >> 40, entry & POSITION
-            j = following[i]
-            if ids[i] < 0 or j >= n or pairs.get(ids[i] << ID_BITS | ids[j]) != rank:
+            i = entry & POSITION
+            if pair[i] != entry >> 40:
                 continue  # either part has changed since
-            ids[i], ids[j] = rank, -1
+            j = following[i]
             following[i] = k = following[j]
+            pair[i] = pair[j] = -1
             if k < n:
                 before[k] = i
-                if (r := pairs.get(rank << ID_BITS | ids[k])) is not None:
+                if (r := rank_of(piece[i : following[k]], -1)) >= 0:
+                    pair[i] = r
                     heapq.heappush(heap, r << 40 | i)
-            if (p := before[i]) >= 0 and (r := pairs.get(ids[p] << ID_BITS | rank)) is not None:
-                heapq.heappush(heap, r << 40 | p)
-        return [i for i in ids if i >= 0]
-
-    def resolve(self, pieces: set[str]) -> dict[str, list[int]]:
-        """The ids of every pre-token: the memory, with what it had not."""
-        if len(self.known) > MEMORY:
-            self.known.clear()
-        new = [p for p in pieces if p not in self.known]
-        raw = [p.encode("utf-8") for p in new]
-        long = {}
+            if (p := before[i]) >= 0:
+                pair[p] = r = rank_of(piece[p:k], -1)
+                if r >= 0:
+                    heapq.heappush(heap, r << 40 | p)
+        out, i = [], 0
+        while i < n:
+            j = following[i]
+            out.append(ranks[piece[i:j]])
+            i = j
+        return out
+
+    def resolve(self, pieces: set[str]) -> list[str]:
+        """Have the ids of every pre-token in ``recent``; those that are too long to stay are returned."""
+        if len(self.recent) > MEMORY:
+            self.older, self.recent = self.recent, {}
+        recent, older, new = self.recent, self.older, []
+        for piece in pieces:
+            if piece not in recent:
+                if (ids := older.get(piece)) is not None:
+                    recent[piece] = ids
+                else:
+                    new.append(piece)
+        raw = [piece.encode("utf-8") for piece in new]
+        keys, single = self.keys, self.ids
         for piece, token, slot in zip(new, raw, self.hash.slots(raw).tolist()):
-            known = slot >= 0 and self.keys[slot] == token
-            (self.known if len(piece) <= SHORT else long)[piece] = [int(self.ids[slot])] if known else self.merge(token)
-        return self.known if not long else ChainMap(long, self.known)
+            known = slot >= 0 and keys[slot] == token
+            recent[piece] = single[slot].tobytes() if known else np.array(self.merge(token), np.int32).tobytes()
+        return [piece for piece in new if len(piece) > SHORT]
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in one array, and where each text's ids start (one more for the end)."""
-        parts, ends = [], [0]
-        for text in texts:
-            n = 0
+        parts, sizes = [], np.zeros(len(texts) + 1, np.int64)
+        split: list[tuple[int, list[str]]] = []
+        waiting = 0
+
+        def encode_split() -> None:
+            # The distinct pre-tokens of many pieces at once.
+            long = self.resolve(set(chain.from_iterable(found for _, found in split)))
+            ids_of = self.recent.__getitem__
+            for row, found in split:
+                parts.append(b"".join(map(ids_of, found)))
+                sizes[row + 1] += len(parts[-1]) // 4
+            for piece in long:
+                del self.recent[piece]
+            split.clear()
+
+        for row, text in enumerate(texts):
             for piece in safe_pieces(text) if text else ():
-                found = self.split(piece)
-                ids = np.fromiter(chain.from_iterable(map(self.resolve(set(found)).__getitem__, found)), np.int32)
-                parts.append(ids)
-                n += len(ids)
-            ends.append(ends[-1] + n)
-        return np.concatenate(parts) if parts else np.zeros(0, np.int32), np.array(ends, np.int64)
+                split.append((row, self.split(piece)))
+                waiting += len(piece)
+                if waiting >= GROUP_BYTES:
+                    encode_split()
+                    waiting = 0
+        encode_split()
+        return np.frombuffer(b"".join(parts), np.int32), np.cumsum(sizes)
 
     def decode(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The bytes of the ids in one array, and where each text's bytes start."""
@@ -251,7 +273,6 @@ def round_trip(docs: DataFrame, vocabulary: str | None = None, pattern: str | No
                     ids=pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)),
                     decoded=pa.Array.from_buffers(pa.binary(), group.num_rows, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(raw)]),
                 )
-        own.known.clear()  # the worker may go on to other work
 
     rows = docs.select("doc_id", "text")
     return rows.mapInArrow(run, schema_of(rows.drop("text"), ids="array<int>", decoded="binary"))

@@ -36,6 +36,18 @@ def test_ids_are_the_librarys_and_decode_to_the_text():
     assert [raw[a:b].tobytes().decode() for a, b in zip(at, at[1:])] == texts
 
 
+def test_memory_of_pre_tokens_turns_over(monkeypatch):
+    monkeypatch.setattr(bpe, "MEMORY", 20)
+    monkeypatch.setattr(bpe, "SHORT", 6)
+    monkeypatch.setattr(bpe, "GROUP_BYTES", 300)
+    own, reference = bpe.Codec(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN), library()
+    texts = odd_texts(20, 8)
+    for part in (texts[:10], texts[5:], texts[:10]):
+        ids, ends = own.encode(part)
+        assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [reference.encode_ordinary(t) for t in part]
+        assert max(map(len, [*own.recent, *own.older])) <= 6 and len(own.older) < 3000
+
+
 def test_perfect_hash_uses_every_slot_once():
     own = bpe.codec()
     assert sorted(own.hash.slots(own.keys).tolist()) == list(range(len(own.keys)))
