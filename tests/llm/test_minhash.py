@@ -67,6 +67,20 @@ def test_large_group_chains_and_common_passage(spark):
     check(spark, rows)
 
 
+def test_an_id_with_two_texts(spark):
+    """Each text is linked for itself, and the rows that stay are one of each group."""
+    rng = random.Random(12)
+    first, second = corpus.sentence(rng, "aa", 40), corpus.sentence(rng, "bb", 40)
+    near = " ".join(second.split()[:39] + ["zz"])
+    rows = [(1, first), (1, second), (2, first), (3, near), (4, corpus.sentence(rng, "aa", 30)), (4, first), (None, first), (None, "one"), (None, "one"), (5, ""), (5, "")]
+    docs = corpus.with_extras(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
+    got = sorted(((r.doc_id, r.component_id) for r in minhash.near_duplicates(docs).collect()), key=str)
+    assert got == sorted([(1, 1), (1, 1), (2, 1), (3, 1), (4, 4), (4, 1), (None, None), (None, None), (None, None), (5, 5), (5, 5)], key=str)
+    left = minhash.one_of_each(docs)
+    assert left.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted([rows[0], rows[1], rows[4], (None, "one"), (5, ""), (5, "")], key=str)
+
+
 def test_threshold_is_inclusive(spark):
     words = [f"w{i}" for i in range(200)]
     rows = [(1, " ".join(words[:11])), (2, " ".join(words[:9] + ["z"])), (3, " ".join(words[:8])), (4, " ".join(words[:7]))]
