@@ -29,7 +29,7 @@ from anaquel.llm.common import rows_by_bytes, schema_of, table, with_arrays
 from anaquel.llm.words import ALNUM, find_words, utf8, word_hashes
 
 WINDOW = 10
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 2 << 20
 BLOCK_BYTES = 8 << 20
 
 

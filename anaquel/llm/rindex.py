@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anaquel.llm.common import rows_by_bytes, schema_of, table, with_arrays
-from anaquel.llm.words import _BASE, _CODES_EXACT, _INVERSE, _powers, mix, utf8
+from anaquel.llm.words import _BASE, _CODES_EXACT, mix, power_of, times_powers, utf8
 from anaquel.sources.staging import stage
 
 LENGTH, GRAM = 100, 24
@@ -46,13 +46,11 @@ class Hashes:
     """Hashes of any stretch of some bytes, from prefix sums."""
 
     def __init__(self, data: np.ndarray):
-        size = 1 << max(16, int(len(data)).bit_length())
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_CODES_EXACT[data] * _powers(_BASE, size)[: len(data)], out=self.sums[1:])
-        self.inverse = _powers(_INVERSE, size)
+        np.cumsum(times_powers(_CODES_EXACT[data]), out=self.sums[1:])
 
     def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        return mix((self.sums[stop] - self.sums[start]) * self.inverse[start] + (stop - start).astype(np.uint64))
+        return mix((self.sums[stop] - self.sums[start]) * power_of(start, len(self.sums)) + (stop - start).astype(np.uint64))
 
 
 def segments(data: np.ndarray, rows: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:

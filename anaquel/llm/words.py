@@ -23,13 +23,39 @@ _CODES_EXACT = np.random.default_rng(_SEED).integers(0, 1 << 64, 256, dtype=np.u
 _CODES = _CODES_EXACT[_LOWER]
 
 
-@lru_cache(maxsize=2)
-def _powers(base: int, size: int) -> np.ndarray:
-    out = np.full(size, np.uint64(base), np.uint64)
+# Powers are kept for so many exponents; larger ones are products of two.
+_CHUNK = 1 << 16
+
+
+@lru_cache(maxsize=None)
+def _low_powers(base: int) -> np.ndarray:
+    out = np.full(_CHUNK, np.uint64(base), np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+def _high_powers(base: int, size: int) -> np.ndarray:
+    """Powers of ``base`` to the multiples of ``_CHUNK``, for exponents below ``size``."""
+    out = np.full(size // _CHUNK + 1, np.uint64(pow(base, _CHUNK, 1 << 64)), np.uint64)
     out[0] = 1
     return np.multiply.accumulate(out)
 
 
+def times_powers(values: np.ndarray, base: int = _BASE) -> np.ndarray:
+    """Value i times ``base`` to the i, modulo 2^64, in place."""
+    low = _low_powers(base)
+    for at, high in zip(range(0, len(values), _CHUNK), _high_powers(base, len(values))):
+        part = values[at : at + _CHUNK]
+        part *= low[: len(part)]
+        part *= high
+    return values
+
+
+def power_of(exponents: np.ndarray, size: int, base: int = _INVERSE) -> np.ndarray:
+    """``base`` to each exponent below ``size``, modulo 2^64."""
+    return _low_powers(base)[exponents & (_CHUNK - 1)] * _high_powers(base, size)[exponents >> 16]
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values."""
     values = values ^ (values >> np.uint64(32))
@@ -68,10 +94,9 @@ def find_words(data: np.ndarray, rows: np.ndarray, letters: np.ndarray) -> tuple
 
 def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each word, with A-Z as a-z: a polynomial over random codes of the bytes."""
-    size = 1 << max(16, int(len(data)).bit_length())
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_CODES[data] * _powers(_BASE, size)[: len(data)], out=sums[1:])
-    return mix((sums[end] - sums[begin]) * _powers(_INVERSE, size)[begin] + (end - begin).astype(np.uint64))
+    np.cumsum(times_powers(_CODES[data]), out=sums[1:])
+    return mix((sums[end] - sums[begin]) * power_of(begin, len(data)) + (end - begin).astype(np.uint64))
 
 
 def chain_hashes(words: np.ndarray, length: int) -> np.ndarray:
