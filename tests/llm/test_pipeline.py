@@ -51,6 +51,6 @@ def test_awkward_rows_and_empty_tables(spark, folder, edges, empty):
 
 def test_registered():
     names = list(catalog.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
     assert catalog.oracle_sql().keys() <= set(names)
     assert len(corpus_pipeline.STAGES) == 5
