@@ -9,9 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from anaquel.operators.lookup import attach
 from anaquel.operators.numbering import rank_by_sequence
-from anaquel.operators.stock import ACCEPTED, stock_gate
+from anaquel.operators.stock import ACCEPTED, threshold_gate
 from anaquel.sources.staging import stage
 
 UNKNOWN_USER = "usuario_no_encontrado"
@@ -39,13 +38,12 @@ def register_loans(
     """
     wanted = users.join(requests.select("correo").distinct(), "correo", "left_semi")
     by_mail = wanted.groupBy("correo").agg(F.min("id_usuario").alias("id_usuario"))
-    # Read several times from here on.
-    found = stage(attach(requests, by_mail, "correo"), "requests")
+    # Read several times from here on, without the e-mails.
+    found = stage(requests.join(by_mail, "correo", "left").select("secuencia", "id_usuario", "id_libro", "estado"), "requests")
     has_user = F.col("id_usuario").isNotNull()
-    served = stock_gate(found, inventory, counted=has_user).withColumn(
+    gated = threshold_gate(found, inventory, counted=has_user).withColumn(
         "resultado", F.when(has_user, F.col("resultado")).otherwise(UNKNOWN_USER)
     )
-    gated = stage(served, "gated_requests")
     accepted = F.col("resultado") == ACCEPTED
     numbered = rank_by_sequence(gated, "secuencia", "_new", counted=accepted)
     return numbered.select(

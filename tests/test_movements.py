@@ -55,6 +55,35 @@ def test_gate_matches_simulation(spark, seed):
     assert after == left
 
 
+@pytest.mark.parametrize("seed, ranges, settled", [(1, 1024, 10_000), (2, 4, 3), (3, 2, 1)])
+def test_threshold_gate_matches_simulation(spark, monkeypatch, seed, ranges, settled):
+    """Also with so few ranges that the one where the stock runs out is narrowed down several times."""
+    monkeypatch.setattr(stock, "RANGES", ranges)
+    monkeypatch.setattr(stock, "SETTLED", settled)
+    requests, inventory = random_case(seed)
+    reqs = spark.createDataFrame(requests, "secuencia BIGINT, id_libro BIGINT")
+    inv = spark.createDataFrame(inventory, NORMALISED["inventario"])
+    want, _ = simulate(requests, inventory)
+    gated = stock.threshold_gate(reqs, inv)
+    assert gated.columns == ["secuencia", "id_libro", "disponible", "resultado"]
+    assert {(r.secuencia, r.id_libro): r.resultado for r in gated.collect()} == want
+    # Requests that do not count take no stock.
+    even = F.col("secuencia") % 2 == 0
+    want, _ = simulate([r for r in requests if r[0] % 2 == 0], inventory)
+    got = {(r.secuencia, r.id_libro): r.resultado for r in stock.threshold_gate(reqs, inv, even).collect()}
+    assert {k: v for k, v in got.items() if v is not None} == want and all(k[0] % 2 for k, v in got.items() if v is None)
+
+
+def test_thresholds_without_requests_and_with_a_hot_book(spark):
+    inventory = spark.createDataFrame([(1, 1, 700), (1, 2, 5), (1, 3, 0)], NORMALISED["inventario"])
+    none = spark.createDataFrame([], "secuencia BIGINT, id_libro BIGINT")
+    assert stock.threshold_gate(none, inventory).collect() == []
+    hot = spark.range(3000).select((F.col("id") * 1_000_003 - 9).alias("secuencia"), F.when(F.col("id") % 3 < 2, 1).otherwise(2).alias("id_libro"))
+    found = {r.id_libro: r.ultima for r in stock.thresholds(hot, inventory).collect()}
+    order = sorted(r.secuencia for r in hot.filter("id_libro = 1").collect())
+    assert found == {1: order[699], 2: 4 * 3 * 1_000_003 + 2 * 1_000_003 - 9, 3: None}
+
+
 def test_hot_book_and_large_quantity(spark):
     huge = 1 << 33
     inventory = spark.createDataFrame([(s, 1, huge) for s in range(1, 4)] + [(1, b, 5) for b in range(2, 300)], NORMALISED["inventario"])
