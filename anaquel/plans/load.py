@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,25 +62,65 @@ def publish(tables: Mapping[str, DataFrame], folder: str) -> str:
     spark = next(iter(tables.values())).sparkSession
     load = f"{folder.rstrip('/')}/carga-{uuid.uuid4().hex}"
     concurrently(lambda name: write_table(tables[name].select(*columns(name)), f"{load}/{name}"), tables)
-    # A pointer file per load, added when all its tables are there; readers follow the newest, so they see
-    # the old load or the new one, never none and never a mixture.
-    number = max((row.numero for row in _pointers(spark, folder)), default=0) + 1
-    pointer = spark.range(1).select(F.lit(number).cast("bigint").alias("numero"), F.lit(load).alias("carga"))
-    write_table(pointer.coalesce(1), f"{folder.rstrip('/')}/{CURRENT}", mode="append")
+    # A pointer per load, added when all its tables are there; readers follow the newest, so they see the old load
+    # or the new one, never none and never a mixture.
+    number = _newest(spark, folder)[0] + 1
+    while not _claim(spark, folder, number, load):
+        number += 1
     return load
 
 
-def _pointers(spark: SparkSession, folder: str) -> list:
-    """One row per load ever published, if any; loads are few."""
+def _pointer_files(spark: SparkSession, folder: str):
+    """The file system of ``folder`` and the path of its pointers."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{CURRENT}")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _claim(spark: SparkSession, folder: str, number: int, load: str) -> bool:
+    """Make ``load`` the load of this number, unless another publisher has the number already.
+
+    The file is created only if it is absent, which the file system decides for one of several writers, so every
+    number has one load. A publisher that dies before the line is whole leaves a number that readers skip.
+    """
+    files, path = _pointer_files(spark, folder)
+    pointer = spark._jvm.org.apache.hadoop.fs.Path(path, f"{number:012d}")
     try:
-        return spark.read.schema("numero BIGINT, carga STRING").parquet(f"{folder.rstrip('/')}/{CURRENT}").collect()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return []
+        out = files.create(pointer, False)
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException" or files.exists(pointer):
+            return False
         raise
+    try:
+        out.write(bytearray(f"{load}\n".encode()))
+    finally:
+        out.close()
+    return True
+
+
+def _newest(spark: SparkSession, folder: str) -> tuple[int, str | None]:
+    """The largest number in use, and the load of the largest whole pointer."""
+    files, path = _pointer_files(spark, folder)
+    if not files.exists(path):
+        return 0, None
+    numbers = sorted((int(f.getPath().getName()) for f in files.listStatus(path) if f.getPath().getName().isdigit()), reverse=True)
+    for number in numbers:
+        stream = files.open(spark._jvm.org.apache.hadoop.fs.Path(path, f"{number:012d}"))
+        try:
+            line = bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+        if line.endswith("\n"):
+            return numbers[0], line.strip()
+    return max(numbers, default=0), None
+
+
+class NoLoad(ValueError):
+    """Nothing has been published to the folder."""
 
 
 def current_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The tables of the current load."""
-    load = max(_pointers(spark, folder), key=lambda row: row.numero).carga
+    load = _newest(spark, folder)[1]
+    if load is None:
+        raise NoLoad(folder)
     return {name: spark.read.schema(schema).parquet(f"{load}/{name}") for name, schema in NORMALISED.items()}

@@ -1,12 +1,14 @@
 """The migration on small raw tables: what each mode makes of untidy keys."""
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
 
 from anaquel.operators.constraints import foreign_key_report, primary_key_report
 from anaquel.plans.elt import COMPATIBLE, STRICT, InvalidValue, Migration, simulated_links
+from anaquel.plans import load
 from anaquel.plans.load import LoadRefused, current_tables, publish
 from anaquel.schema import LEGACY, NORMALISED
 from anaquel.sources.synthetic import synthetic_legacy
@@ -192,3 +194,27 @@ def test_unknown_mode_and_policy(legacy):
         Migration({}, mode="other")
     with pytest.raises(ValueError):
         Migration({}, invalid="other")
+
+
+def test_two_publishers_get_two_numbers(spark, tmp_path, monkeypatch):
+    """A publisher that read the pointers before another one added its own goes on to the next number."""
+    folder, tables = str(tmp_path), Migration(synthetic_legacy(spark, 20)).tables()
+    loads = [publish(tables, folder)]
+    whole = load._newest
+    monkeypatch.setattr(load, "_newest", lambda spark, folder: (0, None))
+    loads.append(publish(tables, folder))
+    monkeypatch.setattr(load, "_newest", whole)
+    assert load._newest(spark, folder) == (2, loads[1])
+    with ThreadPoolExecutor(4) as pool:
+        claimed = list(pool.map(lambda n: load._claim(spark, folder, 3, f"carga-{n}"), range(4)))
+    assert any(claimed) and not load._claim(spark, folder, 3, "late")
+    # A pointer that was never finished is skipped, and its number stays taken.
+    (tmp_path / load.CURRENT / "000000000004").write_text("half a path")
+    assert load._newest(spark, folder)[0] == 4 and load._newest(spark, folder)[1].startswith("carga-")
+    assert publish(tables, folder) == load._newest(spark, folder)[1]
+    assert current_tables(spark, folder)["libros"].count() == tables["libros"].count()
+
+
+def test_nothing_published(spark, tmp_path):
+    with pytest.raises(load.NoLoad):
+        current_tables(spark, str(tmp_path))
