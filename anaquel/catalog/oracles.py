@@ -442,6 +442,15 @@ GATE = """
                  row_number() OVER (PARTITION BY id_libro ORDER BY id_prestamo) AS turno FROM m_prestamo_libro)
     LEFT JOIN gate USING (id_libro)"""
 
+# The last sequence a book's stock serves, by position in the sorted list of its requests.
+THRESHOLD = """
+    SELECT id_prestamo AS secuencia, l.id_libro, disponible,
+           CASE WHEN disponible IS NULL THEN 'no_existe' WHEN disponible <= 0 OR coalesce(id_prestamo > ultima, false) THEN 'sin_stock'
+                ELSE 'aceptado' END AS resultado
+    FROM m_prestamo_libro l LEFT JOIN gate USING (id_libro)
+    LEFT JOIN (SELECT id_libro, list_sort(list(id_prestamo))[disponible] AS ultima
+               FROM m_prestamo_libro JOIN gate USING (id_libro) WHERE disponible > 0 GROUP BY id_libro, disponible) u USING (id_libro)"""
+
 STOCK_AFTER = f"""
     SELECT id_sede, id_libro, CAST(cantidad - coalesce(n, 0) AS BIGINT) AS cantidad
     FROM m_inventario LEFT JOIN (SELECT id_libro, count(*) AS n FROM ({GATE}) WHERE resultado = 'aceptado' GROUP BY id_libro)
@@ -539,6 +548,7 @@ SELECTS: dict[str, str] = {
     "doc_inventario": INVENTORY_DOCUMENTS,
     "doc_counts": DOCUMENT_COUNTS,
     "rpt_libros_mas_prestados": "SELECT id_libro, id_prestamo, titulo, usuario, veces_prestado FROM prestadas",
+    "rpt_vista_consulta": "SELECT id_libro, id_prestamo, titulo, usuario, veces_prestado FROM prestadas",
     "rpt_vista_prestados": "SELECT titulo, usuario, veces_prestado, id_libro, id_prestamo FROM lineas",
     "rpt_prestados_texto": BORROWED_TEXT,
     "rpt_top_multas": "SELECT * FROM multas",
@@ -548,6 +558,7 @@ SELECTS: dict[str, str] = {
         SELECT titulo, c.nombre AS categoria FROM m_libros JOIN m_libro_categoria USING (id_libro)
         JOIN m_categorias c USING (id_categoria) WHERE c.nombre = 'NATION_3'""",
     "op_control_inventario": GATE,
+    "op_control_umbral": THRESHOLD,
     "op_stock_after": STOCK_AFTER,
     "op_registrar_prestamo": REGISTER_LOANS,
     "op_devolver_libro": RETURN_LOANS,

@@ -131,6 +131,11 @@ def _gate(tables: Mapping[str, DataFrame]) -> DataFrame:
     return gated.select("secuencia", "id_libro", "turno", "disponible", "resultado")
 
 
+def _threshold(tables: Mapping[str, DataFrame]) -> DataFrame:
+    gated = stock.threshold_gate(_line_requests(tables), tables["inventario"])
+    return gated.select("secuencia", "id_libro", "disponible", "resultado")
+
+
 def _loan_requests(tables: Mapping[str, DataFrame]) -> DataFrame:
     """A request for every distinct part of every order, numbered in this order; some e-mails belong to nobody."""
     mail = F.when(F.col("id_usuario") % 59 == 0, F.concat(F.lit("sin."), "correo")).otherwise(F.col("correo"))
@@ -181,7 +186,14 @@ def _fine_by_loan(spark: SparkSession, folder: str) -> DataFrame:
     """The fine of every loan, and of the unknown loans that returned lines name."""
     loans = library_tables(spark, folder)["prestamos"]
     asked = loans.select("id_prestamo").unionByName(_returns(spark, folder)).distinct()
-    return reports.fine_by_loan(asked, loans, _as_of())
+    reports.register_fine_by_loan(spark, loans, _as_of())
+    fined = asked.select("id_prestamo", F.call_function("calcular_multa", "id_prestamo").alias("multa"))
+    return fined.withColumn("existe", F.col("multa").isNotNull())
+
+
+def _books_by_category(spark: SparkSession, folder: str) -> DataFrame:
+    reports.register_books_by_category(spark, library_tables(spark, folder))
+    return spark.sql("SELECT titulo, categoria FROM obtener_libros_por_categoria(:categoria)", {"categoria": CATEGORY})
 
 
 # -- registry -------------------------------------------------------------------------------------
@@ -211,12 +223,14 @@ REGISTRY: dict[str, Query] = {
     "doc_counts": _library(lambda t: documents.count_documents(documents.build_documents(t))),
     "rpt_libros_mas_prestados": _library(lambda t: reports.most_borrowed(t)),
     "rpt_vista_prestados": _library(lambda t: reports.borrow_counts(t)),
+    "rpt_vista_consulta": _library(lambda t: reports.view_most_borrowed(t)),
     "rpt_prestados_texto": _library(lambda t: reports.borrowed_text(reports.most_borrowed(t))),
     "rpt_top_multas": _library(lambda t: reports.top_fines(t, _as_of())),
     "rpt_multas_texto": _library(lambda t: reports.fines_text(reports.top_fines(t, _as_of()))),
     "fn_calcular_multa": _fine_by_loan,
-    "fn_libros_por_categoria": _library(lambda t: reports.books_by_category(t, CATEGORY)),
+    "fn_libros_por_categoria": _books_by_category,
     "op_control_inventario": _library(_gate),
+    "op_control_umbral": _library(_threshold),
     "op_stock_after": _library(lambda t: stock.stock_after(_line_requests(t), t["inventario"])),
     "op_registrar_prestamo": _register_loans,
     "op_devolver_libro": _return_loans,
