@@ -527,6 +527,8 @@ SELECTS: dict[str, str] = {
     **{f"dq_{k}": _kind(k) for k in ("regex", "rango_numerico", "multivalor", "campo_combinado", "formato_fecha")},
     "dq_report_legacy": _report("legacy"),
     "dq_report_normalizada": _report("normalizada"),
+    "dq_observado": f"""SELECT tabla, columna, tipo, filas, errores, filas AS filas_contadas, errores AS errores_contados
+        FROM ({_report('normalizada')})""",
     "dq_compare_contexts": COMPARE,
     "dq_log_lines": LOG_LINES,
     "dq_rejects": _rejects(),

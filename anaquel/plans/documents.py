@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,13 +91,35 @@ def count_documents(collections: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def count_parents(tables: Mapping[str, DataFrame], mapping: Mapping[str, dict] = DEFAULT_MAPPING) -> DataFrame:
+    """Number of documents per collection, before any is built: a row has one unless a ``local_key`` refers to nothing.
+
+    Lists neither add nor remove documents, so their tables are not read.
+    """
+    counts = []
+    for table, spec in mapping.items():
+        parents = tables[canonical(table)]
+        for embedded in spec.get("embebidos", {}).values():
+            if "local_key" in embedded:
+                parents = parents.join(tables[canonical(embedded["source"])], embedded["local_key"], "left_semi")
+        counts.append(parents.agg(F.count(F.lit(1)).alias("documentos")).select(F.lit(spec["collection"]).alias("coleccion"), "documentos"))
+    return reduce(DataFrame.unionByName, counts)
+
+
 def count_written(spark: SparkSession, collections: Mapping[str, DataFrame], folder: str, fmt: str = "json") -> DataFrame:
     """Number of documents per collection, counted from what ``write_documents`` has written."""
     written = {n: spark.read.schema(df.schema).format(fmt).load(f"{folder.rstrip('/')}/{n}") for n, df in collections.items()}
     return count_documents(written)
 
 
-def write_documents(collections: Mapping[str, DataFrame], folder: str, fmt: str = "json", **options) -> None:
-    """Replace the collections. The pages of a document's lists are documents with the same ``_id``."""
+def write_documents(collections: Mapping[str, DataFrame], folder: str, fmt: str = "json", **options) -> dict[str, int]:
+    """Replace the collections; the number of documents of each, counted while they are written.
+
+    The pages of a document's lists are documents with the same ``_id`` and are not counted again.
+    """
+    seen = {}
     for name, df in collections.items():
-        write_collection(df, folder, name, fmt, **options)
+        first = F.col("parte") == 0 if "parte" in df.columns else F.lit(True)
+        seen[name] = Observation()
+        write_collection(df.observe(seen[name], F.count_if(first).alias("documentos")), folder, name, fmt, **options)
+    return {name: observed.get["documentos"] for name, observed in seen.items()}

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -51,17 +51,20 @@ def violations(tables: Mapping[str, DataFrame]) -> DataFrame:
     return found.filter(F.col("infracciones") > 0)
 
 
-def publish(tables: Mapping[str, DataFrame], folder: str) -> str:
+def publish(
+    tables: Mapping[str, DataFrame], folder: str, watch: Callable[[str, DataFrame], DataFrame] = lambda name, df: df
+) -> str:
     """Check the tables, write them to a new folder under ``folder``, then make that the current load.
 
-    ``tables`` are written tables (see ``Migration.tables``), as they are read by every check.
+    ``tables`` are written tables (see ``Migration.tables``), as they are read by every check. ``watch`` may add
+    observed counts to each frame that is written.
     """
     broken = violations(tables).first()
     if broken is not None:
         raise LoadRefused(f"{broken.restriccion} {broken.tabla}({broken.columnas}): {broken.infracciones}")
     spark = next(iter(tables.values())).sparkSession
     load = f"{folder.rstrip('/')}/carga-{uuid.uuid4().hex}"
-    concurrently(lambda name: write_table(tables[name].select(*columns(name)), f"{load}/{name}"), tables)
+    concurrently(lambda name: write_table(watch(name, tables[name].select(*columns(name))), f"{load}/{name}"), tables)
     # A pointer per load, added when all its tables are there; readers follow the newest, so they see the old load
     # or the new one, never none and never a mixture.
     number = _newest(spark, folder)[0] + 1

@@ -10,7 +10,7 @@ from collections.abc import Mapping
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from anaquel.functions import predicates
@@ -100,6 +100,35 @@ def _table_report(df: DataFrame, checks: list[Check]) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("filas"), *counts).select(F.inline(F.array(*lines)))
 
 
+class ObservedReport:
+    """The quality report of tables that are about to be written, counted by the writes themselves.
+
+    ``watch`` adds the counts of a table's rules to the frame that is written; ``report`` is there after every
+    watched frame was written. The counts are taken at the top of the plan, in the tasks that write, so a task
+    that is run again counts once, and no table is read for its report.
+    """
+
+    def __init__(self, tables: Mapping[str, DataFrame], context: str, rules: RuleSet = DEFAULT_RULES):
+        self._checks = select_checks(tables, context, rules)
+        self._seen = {name: Observation() for name in self._checks}
+
+    def watch(self, name: str, df: DataFrame) -> DataFrame:
+        if name not in self._checks:
+            return df
+        counts = [F.count_if(check.error()).alias(f"e{check.order}") for check in self._checks[name]]
+        return df.observe(self._seen[name], F.count(F.lit(1)).alias("filas"), *counts)
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        rows = []
+        for name, checks in self._checks.items():
+            counts = self._seen[name].get
+            for check in checks:
+                rule = check.rule
+                given = (rule["columna"], rule["tipo_validacion"], rule.get("accion"), rule.get("mensaje"))
+                rows.append((check.order, check.context, check.table, *given, check.known, counts["filas"], counts[f"e{check.order}"]))
+        return spark.createDataFrame(rows, REPORT_SCHEMA)  # one row a rule
+
+
 def rejected_values(
     tables: Mapping[str, DataFrame], context: str, rules: RuleSet = DEFAULT_RULES
 ) -> DataFrame:

@@ -51,19 +51,22 @@ def run(
         quality.write_log(quality.quality_report(legacy, "legacy", rules), f"{folder}/{LOG}", starts=True)
 
         migration = elt.Migration(legacy, mode, invalid, links_per_loan)
-        load.publish(migration.tables(), f"{folder}/{TABLES}")
+        # The rules are counted, and the documents below, while they are written.
+        migrated = migration.tables()
+        observed = quality.ObservedReport(migrated, "normalizada", rules)
+        load.publish(migrated, f"{folder}/{TABLES}", observed.watch)
         tables = load.current_tables(spark, f"{folder}/{TABLES}")
 
-        quality.write_log(quality.quality_report(tables, "normalizada", rules), f"{folder}/{LOG}")
+        quality.write_log(observed.report(spark), f"{folder}/{LOG}")
 
         collections = documents.build_documents(tables, mapping)
-        documents.write_documents(collections, f"{folder}/{DOCUMENTS}")
+        counts = documents.write_documents(collections, f"{folder}/{DOCUMENTS}")
 
         write_table(reports.most_borrowed(tables), f"{folder}/{REPORTS}/libros_mas_prestados")
         write_table(reports.top_fines(tables, today), f"{folder}/{REPORTS}/top_multas")
 
         append_audit_log(spark, tables, f"{folder}/{AUDIT}", now)
-        return documents.count_written(spark, collections, f"{folder}/{DOCUMENTS}")
+        return spark.createDataFrame(list(counts.items()), "coleccion STRING, documentos BIGINT")
 
 
 def append_audit_log(spark: SparkSession, tables: Mapping[str, DataFrame], path: str, run_time) -> None:

@@ -66,6 +66,7 @@ def test_users_and_inventory(tables, rows):
 
 def test_counts(tables, rows):
     got = rows(documents.count_documents(documents.build_documents(tables)))
+    assert rows(documents.count_parents(tables)) == got
     assert got == [("inventario", 2), ("libros", 2), ("prestamos", 2), ("usuarios", 2)]
 
 
@@ -92,6 +93,7 @@ def test_paged_documents(tables, spark, tmp_path):
     assert {r.coleccion: r.documentos for r in documents.count_documents(collections).collect()}["prestamos"] == 2
     documents.write_documents(collections, str(tmp_path))
     assert spark.read.json(str(tmp_path / "prestamos")).count() == 4
+    assert documents.write_documents(collections, str(tmp_path)) == {r.coleccion: r.documentos for r in documents.count_documents(collections).collect()}
     counted = documents.count_written(spark, collections, str(tmp_path)).collect()
     assert {r.coleccion: r.documentos for r in counted}["prestamos"] == 2
 

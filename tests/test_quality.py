@@ -98,3 +98,12 @@ def test_compare_contexts(spark):
     after = spark.createDataFrame([("normalizada", "regex", 1)], schema)
     got = {r.tipo: (r.errores_legacy, r.errores_normalizada) for r in quality.compare_contexts(before, after).collect()}
     assert got == {"regex": (3, 1), "multivalor": (5, 0)}
+
+
+def test_observed_report_is_the_counted_one(spark, tmp_path):
+    tables = synthetic_legacy(spark)
+    observed = quality.ObservedReport(tables, "legacy")
+    for name, df in tables.items():
+        observed.watch(name, df).write.parquet(str(tmp_path / name))
+    assert sorted(observed.report(spark).collect()) == sorted(quality.quality_report(tables, "legacy").collect())
+    assert observed.report(spark).count() == 5
