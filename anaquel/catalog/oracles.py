@@ -33,6 +33,11 @@ def _name_part(n: int) -> str:
     return f"trim(split_part(categoria_y_descripcion, '/', {n}))"
 
 
+def _each(listed: str, name: str, rest: str, select: str) -> str:
+    """Every element of a list of ``select``, ``n`` times, with the columns ``rest``."""
+    return f"SELECT unnest({listed}) AS {name}, {rest} FROM (SELECT {listed}, {rest}, unnest(range(n)) FROM ({select}))"
+
+
 def _ids(order: str) -> str:
     return "row_number() OVER (ORDER BY " + ", ".join(f"{c} NULLS FIRST" for c in order.split(", ")) + ")"
 
@@ -76,44 +81,50 @@ TABLES = {
         FROM lg_biblioteca JOIN e_editoriales ON trim(editorial_info) = trim(nombre)""",
     "e_autores": f"""
         SELECT {_ids('nombre')} AS id_autor, nombre FROM (SELECT DISTINCT autor_nombre AS nombre FROM lg_biblioteca)""",
-    "e_libro_autor": """
-        SELECT id_libro, id_autor
-        FROM (SELECT trim(titulo_libro) AS obra, trim(autor_nombre) AS firma FROM lg_biblioteca)
-        JOIN (SELECT trim(titulo) AS obra, id_libro FROM e_libros) USING (obra)
-        JOIN (SELECT trim(nombre) AS firma, id_autor FROM e_autores) USING (firma)""",
+    # Ids listed per key. A raw key with n rows and lists of a and b ids gives n times a times b rows.
+    "por_titulo": "SELECT trim(titulo) AS clave, list(id_libro) AS libros FROM e_libros GROUP BY ALL",
+    "por_autor": "SELECT trim(nombre) AS clave, list(id_autor) AS autores FROM e_autores GROUP BY ALL",
+    "e_libro_autor": f"""
+        SELECT id_libro, unnest(autores) AS id_autor FROM ({_each('libros', 'id_libro', 'autores', """
+            SELECT libros, autores, n
+            FROM (SELECT trim(titulo_libro) AS t, trim(autor_nombre) AS a, count(*) AS n FROM lg_biblioteca GROUP BY ALL)
+            JOIN por_titulo ON por_titulo.clave = t JOIN por_autor ON por_autor.clave = a""")})""",
     "e_categorias": f"""
         SELECT {_ids('nombre, descripcion')} AS id_categoria, nombre, descripcion
         FROM (SELECT DISTINCT {_name_part(1)} AS nombre, {_name_part(2)} AS descripcion FROM lg_biblioteca)""",
+    "por_categoria": "SELECT trim(nombre) AS clave, list(id_categoria) AS categorias FROM e_categorias GROUP BY ALL",
     "e_libro_categoria": f"""
-        SELECT id_libro, id_categoria
-        FROM (SELECT trim(titulo_libro) AS obra, {_name_part(1)} AS grupo FROM lg_biblioteca)
-        JOIN (SELECT trim(titulo) AS obra, id_libro FROM e_libros) USING (obra)
-        JOIN (SELECT trim(nombre) AS grupo, id_categoria FROM e_categorias) USING (grupo)""",
+        SELECT id_libro, unnest(categorias) AS id_categoria FROM ({_each('libros', 'id_libro', 'categorias', f"""
+            SELECT libros, categorias, n
+            FROM (SELECT trim(titulo_libro) AS t, {_name_part(1)} AS c, count(*) AS n FROM lg_biblioteca GROUP BY ALL)
+            JOIN por_titulo ON por_titulo.clave = t JOIN por_categoria ON por_categoria.clave = c""")})""",
     "e_usuarios": f"""
         SELECT {_ids('nombre, correo')} AS id_usuario, nombre, correo
         FROM (SELECT DISTINCT nombre_usuario AS nombre, correo_usuario AS correo FROM lg_prestamos)""",
+    "por_correo": "SELECT trim(correo) AS clave, list(id_usuario) AS usuarios FROM e_usuarios GROUP BY ALL",
     "e_prestamos": f"""
-        SELECT {_ids('p.id_prestamo, u.id_usuario, fecha_salida, estado_prestamo')} AS id_prestamo, id_usuario,
-               fecha_salida, estado_prestamo AS estado, libros_prestados
-        FROM lg_prestamos p JOIN e_usuarios u ON trim(p.correo_usuario) = trim(u.correo)""",
+        SELECT {_ids('crudo, id_usuario, fecha_salida, estado')} AS id_prestamo, id_usuario, fecha_salida, estado, libros_prestados
+        FROM (SELECT id_prestamo AS crudo, fecha_salida, estado_prestamo AS estado, libros_prestados,
+                     unnest((SELECT usuarios FROM por_correo WHERE clave = trim(correo_usuario))) AS id_usuario FROM lg_prestamos)""",
     "e_prestamo_libro": """
         SELECT DISTINCT id_prestamo, id_libro
         FROM (SELECT id_prestamo, trim(unnest(string_split(libros_prestados, ','))) AS entrada FROM e_prestamos)
         JOIN e_libros ON entrada = trim(titulo)""",
     "e_resenas": f"""
-        SELECT {_ids('id_usuario, trim(titulo), comentario, nota, id_libro')} AS id_resena, id_usuario, id_libro,
-               comentario, nota AS calificacion
-        FROM (SELECT usuario_id AS id_usuario, trim(libro_titulo) AS obra, comentario, {_int('calificacion')} AS nota FROM lg_resenas)
-        JOIN (SELECT trim(titulo) AS obra, titulo, id_libro FROM e_libros) USING (obra)
-        SEMI JOIN e_usuarios USING (id_usuario)""",
+        SELECT {_ids('id_usuario, t, comentario, nota, id_libro')} AS id_resena, id_usuario, id_libro, comentario, nota AS calificacion
+        FROM (SELECT usuario_id AS id_usuario, trim(libro_titulo) AS t, comentario, {_int('calificacion')} AS nota,
+                     unnest((SELECT libros FROM por_titulo WHERE clave = trim(libro_titulo))) AS id_libro
+              FROM lg_resenas WHERE usuario_id IN (SELECT id_usuario FROM e_usuarios))""",
     "e_sedes": f"""
         SELECT {_ids('nombre, ubicacion')} AS id_sede, nombre, ubicacion
         FROM (SELECT DISTINCT sede_nombre AS nombre, ubicacion_sede AS ubicacion FROM lg_inventario)""",
-    "e_inventario": """
-        SELECT id_sede, id_libro, cantidad_total AS cantidad
-        FROM (SELECT trim(sede_nombre) AS lugar, trim(libro_asociado) AS obra, cantidad_total FROM lg_inventario)
-        JOIN (SELECT trim(nombre) AS lugar, id_sede FROM e_sedes) USING (lugar)
-        JOIN (SELECT trim(titulo) AS obra, id_libro FROM e_libros) USING (obra)""",
+    "por_sede": "SELECT trim(nombre) AS clave, list(id_sede) AS sedes FROM e_sedes GROUP BY ALL",
+    "e_inventario": f"""
+        SELECT unnest(sedes) AS id_sede, id_libro, cantidad FROM ({_each('libros', 'id_libro', 'sedes, cantidad', """
+            SELECT libros, sedes, cantidad, n
+            FROM (SELECT trim(sede_nombre) AS s, trim(libro_asociado) AS t, cantidad_total AS cantidad, count(*) AS n
+                  FROM lg_inventario GROUP BY ALL)
+            JOIN por_titulo ON por_titulo.clave = t JOIN por_sede ON por_sede.clave = s""")})""",
     # Strict migration.
     "s_editoriales": f"""
         SELECT {_ids('nombre')} AS id_editorial, nombre
@@ -158,9 +169,11 @@ TABLES = {
         SELECT {_ids('nombre, ubicacion')} AS id_sede, nombre, ubicacion
         FROM (SELECT DISTINCT trim(sede_nombre) AS nombre, trim(ubicacion_sede) AS ubicacion FROM lg_inventario)""",
     "s_inventario": """
-        SELECT id_sede, id_libro, cantidad_total AS cantidad
-        FROM lg_inventario i JOIN s_sedes s ON trim(i.sede_nombre) = s.nombre AND trim(i.ubicacion_sede) = s.ubicacion
-        JOIN s_titulos ON trim(i.libro_asociado) = title""",
+        SELECT * FROM (
+            SELECT (SELECT id_sede FROM s_sedes WHERE nombre = trim(sede_nombre) AND ubicacion = trim(ubicacion_sede)) AS id_sede,
+                   (SELECT id_libro FROM s_titulos WHERE title = trim(libro_asociado)) AS id_libro, cantidad_total AS cantidad
+            FROM lg_inventario)
+        WHERE id_sede IS NOT NULL AND id_libro IS NOT NULL""",
     # Library tables with the keys of the star schema.
     "m_editoriales": """
         SELECT DISTINCT CAST(split_part(p_brand, '#', 2) AS BIGINT) AS id_editorial, p_brand AS nombre FROM part""",
