@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,16 +52,40 @@ def staging_area(spark: SparkSession) -> Iterator[None]:
             target.getFileSystem(conf).delete(target, True)
 
 
+# Per session: the writes under way, and what the setting was before the first of them.
+_writing: dict[str, tuple[int, str | None]] = {}
+_lock = Lock()
+
+
+@contextmanager
+def _freeing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Have the setting on as long as any thread writes, and put it back after the last."""
+    session = spark._jsparkSession.sessionUUID()
+    with _lock:
+        count, before = _writing.get(session, (0, None))
+        if count == 0:
+            before = spark.conf.get(CLEANUP, None)
+            spark.conf.set(CLEANUP, "true")
+        _writing[session] = (count + 1, before)
+    try:
+        yield
+    finally:
+        with _lock:
+            count, before = _writing.pop(session)
+            if count > 1:
+                _writing[session] = (count - 1, before)
+            elif before is None:
+                spark.conf.unset(CLEANUP)
+            else:
+                spark.conf.set(CLEANUP, before)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and return the written table."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     for paths in _areas:
         paths.append(path)
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
+    with _freeing_shuffles(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
