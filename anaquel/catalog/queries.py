@@ -223,6 +223,7 @@ REGISTRY: dict[str, Query] = {
     "dq_rejects": lambda spark, folder: quality.rejected_values(legacy_tables(spark, folder), "legacy"),
     **{f"elt_{t}": _step(t) for t in elt.STEPS},
     **{f"elt_estricto_{t}": _step(t, elt.STRICT) for t in elt.STEPS},
+    "elt_fanout": _migration(lambda m: m.fanout()),
     "elt_cuarentena": _migration(lambda m: m.quarantine()),
     "dq_tipo_desconocido": _unknown_kind,
     "chk_carga": _library(lambda t: load.violations(t)),

@@ -18,6 +18,7 @@ That keeps copies of a row out of the shuffles and leaves the multiplicity to th
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 from threading import RLock
 
 from pyspark.sql import Column, DataFrame
@@ -107,6 +108,34 @@ class Migration:
         """All twelve tables, written to the shared folder; steps that do not need each other together."""
         return dict(zip(STEPS, concurrently(self.staged, STEPS)))
 
+    # -- size ------------------------------------------------------------------------------------
+
+    def fanout(self) -> DataFrame:
+        """Rows that each join on part of a key has, before any of them runs: ``paso``, ``filas_crudas``, ``filas``.
+
+        A raw key with n rows that finds a and b rows in two lookups gives n times a times b. So the sizes are exact
+        from counts per key, and the work follows the raw tables, however large the joins would be. For
+        the compatible migration; the strict one does not fan out.
+        """
+        if self.strict:
+            raise ValueError("only the compatible migration fans out")
+        self.prepare("editoriales", "autores", "categorias", "usuarios", "sedes", "libros")
+
+        def keys(table: str, column: str) -> DataFrame:
+            return self.raw(table).select(F.trim(column).alias("clave"))
+
+        books, title = keys("libros", "titulo"), F.trim("titulo_libro")
+        users = self.raw("usuarios").select(F.col("id_usuario").alias("clave"))
+        steps = [
+            ("libros", "biblioteca_data", [(F.trim("editorial_info"), keys("editoriales", "nombre"))]),
+            ("libro_autor", "biblioteca_data", [(F.trim("autor_nombre"), keys("autores", "nombre")), (title, books)]),
+            ("libro_categoria", "biblioteca_data", [(_category(1), keys("categorias", "nombre")), (title, books)]),
+            ("prestamos", "prestamos_crudos", [(F.trim("correo_usuario"), keys("usuarios", "correo"))]),
+            ("resenas", "resenas_usuarios", [(F.col("usuario_id"), users), (F.trim("libro_titulo"), books)]),
+            ("inventario", "inventario_sedes", [(F.trim("sede_nombre"), keys("sedes", "nombre")), (F.trim("libro_asociado"), books)]),
+        ]
+        return reduce(DataFrame.unionByName, [_fanned_out(step, self._convertible(raw), found) for step, raw, found in steps])
+
     # -- raw values -----------------------------------------------------------------------------
 
     def quarantine(self) -> DataFrame:
@@ -144,6 +173,21 @@ def _counted(df: DataFrame, **keys: Column) -> DataFrame:
     return named.groupBy(*keys).agg(F.count(F.lit(1)).alias(MULTIPLICITY))
 
 
+def _fanned_out(step: str, raw: DataFrame, lookups: list[tuple[Column, DataFrame]]) -> DataFrame:
+    """One row: how many rows ``raw`` has, and how many its joins with the lookups by their ``clave`` would have."""
+    sized = _counted(raw, **{f"clave_{i}": key for i, (key, _) in enumerate(lookups)})
+    rows = F.col(MULTIPLICITY).cast("decimal(38,0)")
+    for i, (_, lookup) in enumerate(lookups):
+        per_key = lookup.groupBy(F.col("clave").alias(f"clave_{i}")).agg(F.count(F.lit(1)).alias(f"hallados_{i}"))
+        sized = sized.join(per_key, f"clave_{i}", "left")
+        rows = (rows * F.coalesce(f"hallados_{i}", F.lit(0))).cast("decimal(38,0)")
+    return sized.agg(
+        F.lit(step).alias("paso"),
+        F.coalesce(F.sum(MULTIPLICITY), F.lit(0)).alias("filas_crudas"),
+        F.coalesce(F.sum(rows), F.lit(0)).cast("bigint").alias("filas"),
+    )
+
+
 def _dimension(m: Migration, source: str, id_column: str, **attributes: Column) -> DataFrame:
     """Distinct attribute rows, numbered in their order. Strict mode leaves out the all-null row."""
     rows = m.legacy[source].select(*[expression.alias(name) for name, expression in attributes.items()]).distinct()

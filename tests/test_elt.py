@@ -6,7 +6,7 @@ from pathlib import Path
 
 import pytest
 
-from anaquel.operators.constraints import foreign_key_report, primary_key_report
+from anaquel.operators.constraints import MULTIPLICITY, foreign_key_report, primary_key_report
 from anaquel.plans.elt import COMPATIBLE, STRICT, InvalidValue, Migration, simulated_links
 from anaquel.plans import load
 from anaquel.plans.load import LoadRefused, current_tables, publish
@@ -218,3 +218,27 @@ def test_two_publishers_get_two_numbers(spark, tmp_path, monkeypatch):
 def test_nothing_published(spark, tmp_path):
     with pytest.raises(load.NoLoad):
         current_tables(spark, str(tmp_path))
+
+
+def test_fanout_is_the_size_of_the_joins(spark):
+    legacy = synthetic_legacy(spark, 30)
+    books, loans = legacy["biblioteca_data"], legacy["prestamos_crudos"]
+    # Titles shared by many books, authors that differ in blanks, users without mail.
+    legacy["biblioteca_data"] = books.withColumns(
+        {
+            "titulo_libro": F.concat(F.lit("t"), (F.hash("titulo_libro") % 4).cast("string")),
+            "autor_nombre": F.when(F.hash("titulo_libro") % 3 != 0, F.concat(F.lit(" "), "autor_nombre")).otherwise(F.col("autor_nombre")),
+        }
+    )
+    legacy["prestamos_crudos"] = loans.withColumn("correo_usuario", F.when(F.hash("id_prestamo") % 5 != 0, F.col("correo_usuario")))
+    migration = Migration(legacy, COMPATIBLE)
+    found = {r.paso: r.filas for r in migration.fanout().collect()}
+    tables = migration.tables()
+
+    for step in ("libros", "prestamos", "resenas"):
+        assert found[step] == tables[step].count()
+    for step in ("libro_autor", "libro_categoria", "inventario"):
+        assert found[step] == (tables[step].agg(F.sum(MULTIPLICITY)).first()[0] or 0)
+    assert found["libro_categoria"] > 30
+    with pytest.raises(ValueError):
+        Migration(legacy, STRICT).fanout()
