@@ -5,10 +5,10 @@ lines that repeat an earlier line, and words inside 8-word windows that occur ag
 fails the base rules if it has too few words or too many of them in repeated windows.
 
 The others are judged by the minimum covariance determinant, per language and source: each document is a
-vector of transformed statistics; starting from medians and absolute deviations, the share ``SUPPORT`` of
-the group's documents with the smallest distances gives a mean and a covariance, these give new distances,
-and so on for a fixed number of concentration steps. Documents whose squared Mahalanobis distance is beyond
-``CUTOFF`` are rejected. A variance below a small floor, as that of a statistic that is nearly always 0, is the
+vector of transformed statistics; from each of three starts, the share ``SUPPORT`` of the group's documents with the
+smallest distances gives a mean and a covariance, these give new distances, and so on; the start whose covariance has the
+smallest determinant goes on until the determinant falls no more. All documents near that estimate then give the one that
+judges. Documents whose squared Mahalanobis distance is beyond ``CUTOFF`` are rejected. A variance below a small floor, as that of a statistic that is nearly always 0, is the
 floor; all others are as estimated.
 
 Medians and shares come from mergeable sketches and moments from sums, so a group of any size is combined
@@ -23,6 +23,9 @@ are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,11 +38,13 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 MIN_WORDS, MAX_REPEATED_PERCENT = 20, 30
 
-SUPPORT, STEPS, LEAST = 0.75, 4, 50
+SUPPORT, STEPS, SETTLED, LEAST = 0.75, 2, 1e-3, 50
 # Chi-square with five degrees of freedom exceeds it once in ten thousand.
 CUTOFF = 25.74
 # Makes the covariance of the inner 75 % of a normal sample in five dimensions that of the whole.
-CONSISTENCY = 1.41
+CONSISTENCY = 1.412
+# Chi-square with five degrees of freedom stays below it in 97.5 % of cases, and the like factor for that share.
+NEAR, NEAR_CONSISTENCY = 12.83, 1.0555
 # Transformed statistics with the least standard deviation each can have.
 FEATURES = {
     "f_length": 0.2,
@@ -147,54 +152,118 @@ def _grouped(vectors: DataFrame) -> DataFrame:
     return rows.drop("pool").join(_small(keys, "mcd_keys"), "own", "left").drop("own")
 
 
-def _distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    """``d``: the squared distance by the mean ``m_i`` and the lower Cholesky factor ``l_i_j`` of the row's group."""
+def _distance(rows: DataFrame, estimates: DataFrame, how: str = "inner") -> DataFrame:
+    """``d``: the squared distance by the mean ``m_i`` and the lower Cholesky factor ``l_i_j`` of each estimate of the row's group."""
     names = list(FEATURES)
-    joined = rows.join(estimates, "key", "left")
+    joined = rows.join(estimates, "key", how)
     for i, name in enumerate(names):
         rest = F.col(name) - F.col(f"m_{i}")
         for j in range(i):
             rest = rest - F.col(f"l_{i}_{j}") * F.col(f"y_{j}")
         joined = joined.withColumn(f"y_{i}", rest / F.col(f"l_{i}_{i}"))
     squares = sum((F.col(f"y_{i}") * F.col(f"y_{i}") for i in range(1, len(names))), F.col("y_0") * F.col("y_0"))
-    return joined.withColumn("d", squares).drop(*[c for c in estimates.columns if c[:2] in ("m_", "l_")], *[f"y_{i}" for i in range(len(names))])
+    return joined.withColumn("d", squares).drop("logdet", *[c for c in estimates.columns if c[:2] in ("m_", "l_")], *[f"y_{i}" for i in range(len(names))])
 
 
-def _first_estimates(rows: DataFrame) -> DataFrame:
-    """Medians, and absolute deviations as a diagonal covariance."""
-    names = list(FEATURES)
+def _factored(frame: DataFrame, covariance: Callable[[int, int], Column]) -> DataFrame:
+    """Add the lower Cholesky factor of a covariance, its variances no smaller than the floors, and ``logdet``, the logarithm of its determinant."""
+    for i, floor in enumerate(FEATURES.values()):
+        for j in range(i + 1):
+            rest = covariance(i, j)
+            for k in range(j):
+                rest = rest - F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}")
+            frame = frame.withColumn(f"l_{i}_{j}", F.sqrt(F.greatest(rest, F.lit(floor * floor))) if i == j else rest / F.col(f"l_{j}_{j}"))
+    return frame.withColumn("logdet", 2 * sum((F.log(f"l_{i}_{i}") for i in range(1, len(FEATURES))), F.log("l_0_0")))
+
+
+def _starts(rows: DataFrame) -> DataFrame:
+    """Three first estimates of every group, all around its medians and scaled by its absolute deviations.
+
+    They differ in shape: none (a diagonal), that of the directions from the median, each document counting alike however
+    far it lies, and the correlation of the values drawn in by a hyperbolic tangent.
+    """
+    names, p = list(FEATURES), len(FEATURES)
     medians = _small(rows.groupBy("key").agg(*[F.percentile_approx(n, 0.5, ACCURACY).alias(f"m_{i}") for i, n in enumerate(names)]), "mcd_medians")
     deviations = rows.join(medians, "key").groupBy("key").agg(
-        *[F.first(f"m_{i}").alias(f"m_{i}") for i in range(len(names))],
-        *[F.percentile_approx(F.abs(F.col(n) - F.col(f"m_{i}")), 0.5, ACCURACY).alias(f"v_{i}") for i, n in enumerate(names)],
+        *[F.first(f"m_{i}").alias(f"m_{i}") for i in range(p)],
+        *[
+            F.greatest(1.4826 * F.percentile_approx(F.abs(F.col(n) - F.col(f"m_{i}")), 0.5, ACCURACY), F.lit(floor)).alias(f"s_{i}")
+            for i, (n, floor) in enumerate(FEATURES.items())
+        ],
     )
-    factors = {
-        f"l_{i}_{j}": F.greatest(1.4826 * F.col(f"v_{i}"), F.lit(floor)) if i == j else F.lit(0.0)
-        for i, floor in enumerate(FEATURES.values())
-        for j in range(i + 1)
-    }
-    return deviations.withColumns(factors).drop(*[f"v_{i}" for i in range(len(names))])
+    scales = _small(deviations, "mcd_scales")
+    scaled = rows.join(scales, "key").withColumns({f"z_{i}": (F.col(n) - F.col(f"m_{i}")) / F.col(f"s_{i}") for i, n in enumerate(names)})
+    length = sum((F.col(f"z_{i}") * F.col(f"z_{i}") for i in range(1, p)), F.col("z_0") * F.col("z_0"))
+    lower = [(i, j) for i in range(p) for j in range(i + 1)]
+    shapes = scaled.withColumn("length", length).groupBy("key").agg(
+        *[F.first(f"{c}_{i}").alias(f"{c}_{i}") for c in "ms" for i in range(p)],
+        *[F.avg(F.when(F.col("length") > 0, F.col(f"z_{i}") * F.col(f"z_{j}") / F.col("length")).otherwise(0.0)).alias(f"a_{i}_{j}") for i, j in lower],
+        *[F.avg(F.tanh(f"z_{i}") * F.tanh(f"z_{j}")).alias(f"b_{i}_{j}") for i, j in lower],
+    )
+    shapes = _small(shapes, "mcd_shapes")
 
+    def correlation(i: int, j: int) -> Column:
+        both = F.col(f"b_{i}_{i}") * F.col(f"b_{j}_{j}")
+        return F.lit(1.0) if i == j else F.when(both > 0, F.col(f"b_{i}_{j}") / F.sqrt(both)).otherwise(0.0)
 
-def _concentrate(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    """One step: mean and covariance of the share of each group that is nearest by ``estimates``."""
+    kinds: list[Callable[[int, int], Column]] = [lambda i, j: F.lit(float(i == j)), lambda i, j: p * F.col(f"a_{i}_{j}"), correlation]
+    starts = []
+    for start, shape in enumerate(kinds):
+        made = _factored(shapes, lambda i, j, shape=shape: F.col(f"s_{i}") * F.col(f"s_{j}") * shape(i, j))
+        starts.append(made.withColumn("start", F.lit(start)).drop(*[c for c in shapes.columns if c[:2] in ("s_", "a_", "b_")]))
+    return reduce(DataFrame.unionByName, starts)
+
+
+def _moments(rows: DataFrame, consistency: float) -> DataFrame:
+    """An estimate of every group and start from its rows: their mean and covariance, and ``inner``, their number."""
     names, p = list(FEATURES), len(FEATURES)
-    near = _distance(rows, estimates).drop("inner")
-    limits = _small(near.groupBy("key").agg(F.percentile_approx("d", SUPPORT, ACCURACY).alias("limit")), "mcd_limits")
-    inner = near.join(limits, "key").filter(F.col("d") <= F.col("limit"))
     # Sums around the last mean, for accuracy, would need it again; the statistics are of the order of 1.
-    moments = inner.groupBy("key").agg(
+    moments = rows.groupBy("key", "start").agg(
         F.count(F.lit(1)).alias("inner"),
         *[F.avg(n).alias(f"m_{i}") for i, n in enumerate(names)],
         *[F.covar_pop(names[i], names[j]).alias(f"c_{i}_{j}") for i in range(p) for j in range(i + 1)],
     )
-    for i, floor in enumerate(FEATURES.values()):
-        for j in range(i + 1):
-            rest = F.col(f"c_{i}_{j}") * CONSISTENCY
-            for k in range(j):
-                rest = rest - F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}")
-            moments = moments.withColumn(f"l_{i}_{j}", F.sqrt(F.greatest(rest, F.lit(floor * floor))) if i == j else rest / F.col(f"l_{j}_{j}"))
-    return moments.drop(*[c for c in moments.columns if c.startswith("c_")])
+    made = _factored(moments, lambda i, j: F.col(f"c_{i}_{j}") * consistency)
+    return made.drop(*[c for c in moments.columns if c.startswith("c_")])
+
+
+def _concentrate(rows: DataFrame, estimates: DataFrame) -> DataFrame:
+    """One step: mean and covariance of the share of each group that is nearest by each of its ``estimates``."""
+    near = _distance(rows, estimates.drop("inner"))
+    limits = _small(near.groupBy("key", "start").agg(F.percentile_approx("d", SUPPORT, ACCURACY).alias("limit")), "mcd_limits")
+    return _moments(near.join(limits, ["key", "start"]).filter(F.col("d") <= F.col("limit")), CONSISTENCY)
+
+
+def _smallest(estimates: DataFrame) -> DataFrame:
+    """The estimate with the smallest determinant of every group."""
+    rest = [c for c in estimates.columns if c != "key"]
+    found = estimates.groupBy("key").agg(F.min_by(F.struct(*rest), F.struct("logdet", "start")).alias("best"))
+    return found.select("key", "best.*")
+
+
+def minimum_determinant(rows: DataFrame) -> DataFrame:
+    """Per ``key`` the mean, covariance and determinant of the ``SUPPORT`` of its rows for which the determinant is smallest.
+
+    All starts get ``STEPS`` steps; the best of each group goes on as long as a step makes its determinant smaller by more
+    than ``SETTLED`` (as a logarithm; the floors bound it from below), and the smallest ever seen is the result.
+    """
+    estimates = _small(_starts(rows), "mcd_estimates")
+    for _ in range(STEPS):
+        estimates = _small(_concentrate(rows, estimates), "mcd_estimates")
+    falling = _small(_smallest(estimates), "mcd_estimates")
+    seen = [falling]
+    while True:
+        stepped = _small(_concentrate(rows, falling), "mcd_estimates")
+        seen.append(stepped)
+        before = falling.select("key", F.col("logdet").alias("before"))
+        falling = stepped.join(before, "key").filter(F.col("logdet") < F.col("before") - SETTLED).drop("before")
+        if falling.isEmpty():
+            return _smallest(reduce(DataFrame.unionByName, seen))
+
+
+def reweighted(rows: DataFrame, estimates: DataFrame) -> DataFrame:
+    """Mean and covariance, per ``key``, of all rows within ``NEAR`` of the estimate of the smallest determinant."""
+    return _moments(_distance(rows, estimates.drop("inner")).filter(F.col("d") <= NEAR), NEAR_CONSISTENCY)
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -202,10 +271,8 @@ def judge(docs: DataFrame) -> DataFrame:
     staged = stage(_grouped(_vectors(stage(base_statistics(docs, "lang", "source"), "quality_base"))), "quality_rows")
     # A document counts in every group it feeds.
     feeding = staged.filter(~F.col("base_failed")).withColumn("key", F.explode("feeds")).select("key", *FEATURES)
-    estimates = _small(_first_estimates(feeding), "mcd_estimates")
-    for _ in range(STEPS):
-        estimates = _small(_concentrate(feeding, estimates), "mcd_estimates")
-    distances = _distance(staged, estimates)
+    estimates = _small(reweighted(feeding, _small(minimum_determinant(feeding), "mcd_estimates")), "mcd_estimates")
+    distances = _distance(staged, estimates, "left")
     distance = F.when(~F.col("base_failed"), F.col("d"))
     # Distances to an estimate from few documents are larger; as many as there are dimensions tell nothing.
     p = len(FEATURES)

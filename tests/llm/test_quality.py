@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+
 from anaquel.llm import quality
 from tests.llm import corpus
 
@@ -80,3 +82,85 @@ def test_small_groups_are_judged(spark):
     assert judged[2000].kept and sum(judged[1000 + i].kept for i in range(10)) >= 9
     few = quality.judge(spark.createDataFrame(rows[:4], corpus.SCHEMA)).collect()
     assert all(r.kept and r.distance is not None for r in few)
+
+
+def minimum_by_numpy(x):
+    """Mean, covariance and log determinant of the nearest share with the smallest determinant, then the reweighted estimate."""
+    floors = np.array(list(quality.FEATURES.values()))
+    low = lambda values, share: np.sort(values, axis=0)[int(np.ceil(share * len(values))) - 1]
+    middle = low(x, 0.5)
+    scale = np.maximum(1.4826 * low(np.abs(x - middle), 0.5), floors)
+    z = (x - middle) / scale
+    length = (z * z).sum(1, keepdims=True)
+    signs = np.divide(z, np.sqrt(length), out=np.zeros_like(z), where=length > 0)
+    pulled = np.tanh(z).T @ np.tanh(z)
+    spread = np.sqrt(np.diag(pulled))
+    both = np.outer(spread, spread)
+    correlation = np.divide(pulled, both, out=np.zeros_like(pulled), where=both > 0)
+    np.fill_diagonal(correlation, 1.0)
+
+    def factor(covariance):
+        lower = np.zeros_like(covariance)
+        for i in range(len(floors)):
+            for j in range(i + 1):
+                rest = covariance[i, j] - lower[i, :j] @ lower[j, :j]
+                lower[i, j] = np.sqrt(max(rest, floors[i] ** 2)) if i == j else rest / lower[j, j]
+        return lower
+
+    def distances(mean, lower):
+        y = np.linalg.solve(lower, (x - mean).T)
+        return (y * y).sum(0)
+
+    def moments(inner, consistency):
+        lower = factor(np.cov(inner.T, bias=True) * consistency)
+        return inner.mean(0), lower, 2 * np.log(np.diag(lower)).sum()
+
+    def step(estimate):
+        d = distances(*estimate[:2])
+        return moments(x[d <= low(d, quality.SUPPORT)], quality.CONSISTENCY)
+
+    ends = []
+    for shape in (np.eye(len(floors)), len(floors) * signs.T @ signs / len(x), correlation):
+        estimate = (middle, factor(shape * np.outer(scale, scale)), None)
+        for _ in range(quality.STEPS):
+            estimate = step(estimate)
+        ends.append(estimate)
+    seen = [min(ends, key=lambda e: e[2])]
+    while True:
+        seen.append(step(seen[-1]))
+        if not seen[-1][2] < seen[-2][2] - quality.SETTLED:
+            break
+    best = min(seen, key=lambda e: e[2])
+    near = moments(x[distances(*best[:2]) <= quality.NEAR], quality.NEAR_CONSISTENCY)
+    return best, distances(*near[:2]), [e[2] for e in ends]
+
+
+def test_determinants_and_distances_match_numpy(spark):
+    """With correlated statistics and a third of far rows on one side, in two groups."""
+    rng = np.random.default_rng(5)
+    groups = {}
+    for key, far in (("a", 0), ("b", 45)):
+        mixed = rng.normal(size=(160, 5)) @ rng.normal(size=(5, 5))
+        mixed[:far] = mixed[:far] * 0.2 + 9
+        groups[key] = mixed
+    rows = [(k, i, *map(float, v)) for k, x in groups.items() for i, v in enumerate(x)]
+    names = list(quality.FEATURES)
+    df = spark.createDataFrame(rows, "key string, i int, " + ", ".join(f"{n} double" for n in names)).coalesce(1)
+    best = quality.minimum_determinant(df)
+    found = {r.key: r for r in best.collect()}
+    judged = quality._distance(df, quality.reweighted(df, best)).collect()
+    for key, x in groups.items():
+        (mean, lower, logdet), d, ends = minimum_by_numpy(x)
+        assert np.isclose(found[key].logdet, logdet, rtol=1e-9) and logdet <= min(ends) + 1e-9
+        assert np.allclose([found[key][f"m_{i}"] for i in range(5)], mean)
+        assert np.allclose([r.d for r in sorted(judged, key=lambda r: r.i) if r.key == key], d, rtol=1e-6)
+    # The far rows are told from the others.
+    far = {r.i for r in judged if r.key == "b" and r.d > quality.CUTOFF}
+    assert far >= set(range(45)) and len(far) <= 50
+
+
+def test_the_smallest_determinant_wins(spark):
+    """Where the starts end at different determinants, the least of them is the one that goes on."""
+    row = lambda key, start, logdet: (key, start, logdet)
+    df = spark.createDataFrame([row("a", 0, 1.0), row("a", 1, -2.0), row("a", 2, 0.0), row("b", 1, 5.0), row("b", 2, 5.0)], "key string, start int, logdet double")
+    assert {r.key: (r.start, r.logdet) for r in quality._smallest(df).collect()} == {"a": (1, -2.0), "b": (1, 5.0)}
