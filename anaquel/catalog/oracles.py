@@ -42,6 +42,15 @@ def _ids(order: str) -> str:
     return "row_number() OVER (ORDER BY " + ", ".join(f"{c} NULLS FIRST" for c in order.split(", ")) + ")"
 
 
+# More draws than any loan needs: with three expected links, the 64th is past the last book but for one loan in 10^50.
+RANDOM_LINKS = """
+    SELECT id_prestamo, id_libro FROM (
+        SELECT id_prestamo, n, CAST(sum(1 + CAST(floor(ln(u) / ln(1 - p)) AS BIGINT)) OVER (PARTITION BY id_prestamo ORDER BY j) AS BIGINT) AS id_libro
+        FROM (SELECT id_prestamo, j, n, CAST(3 AS DOUBLE) / n AS p,
+                     CAST(CAST('0x' || substr(md5('|' || id_prestamo || '|' || j), 1, 13) AS BIGINT) + 1 AS DOUBLE) / pow(16, 13) AS u
+              FROM (SELECT id_prestamo, unnest(range(1, 65)) AS j FROM m_prestamos), (SELECT count(*) AS n FROM m_libros)))
+    WHERE id_libro <= n"""
+
 # Named tables; each may use those before it.
 TABLES = {
     # Raw tables.
@@ -559,6 +568,7 @@ SELECTS: dict[str, str] = {
     "dq_rejects": _rejects(),
     **{f"elt_{t}": f"SELECT {c} FROM e_{t}" for t, c in TABLE_COLUMNS.items()},
     **{f"elt_estricto_{t}": f"SELECT {c} FROM s_{t}" for t, c in TABLE_COLUMNS.items()},
+    "elt_enlaces_azar": RANDOM_LINKS,
     "elt_fanout": FANOUT,
     "elt_cuarentena": QUARANTINE,
     "dq_tipo_desconocido": """

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anaquel.operators import constraints, movements, stock
+from anaquel.operators.links import bernoulli_links
 from anaquel.operators.numbering import number_rows
 from anaquel.plans import documents, elt, load, quality, reports
 from anaquel.session import tune
@@ -22,6 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = "2001-08-01"
 RUN_TIME = "2001-08-01 12:00:00"
 CATEGORY = "NATION_3"
+EXPECTED_LINKS = 3
 
 
 def _as_of() -> Column:
@@ -210,6 +212,10 @@ def _books_by_category(spark: SparkSession, folder: str) -> DataFrame:
     return spark.sql("SELECT titulo, categoria FROM obtener_libros_por_categoria(:categoria)", {"categoria": CATEGORY})
 
 
+def _random_links(tables: Mapping[str, DataFrame]) -> DataFrame:
+    return bernoulli_links(tables["prestamos"], tables["libros"].select(F.count(F.lit(1))).scalar(), EXPECTED_LINKS)
+
+
 # -- registry -------------------------------------------------------------------------------------
 
 REGISTRY: dict[str, Query] = {
@@ -223,6 +229,7 @@ REGISTRY: dict[str, Query] = {
     "dq_rejects": lambda spark, folder: quality.rejected_values(legacy_tables(spark, folder), "legacy"),
     **{f"elt_{t}": _step(t) for t in elt.STEPS},
     **{f"elt_estricto_{t}": _step(t, elt.STRICT) for t in elt.STEPS},
+    "elt_enlaces_azar": _library(_random_links),
     "elt_fanout": _migration(lambda m: m.fanout()),
     "elt_cuarentena": _migration(lambda m: m.quarantine()),
     "dq_tipo_desconocido": _unknown_kind,

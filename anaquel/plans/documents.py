@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from anaquel.operators.children import PAGE, collect_children
 from anaquel.plans.mapping import DEFAULT_MAPPING
 from anaquel.schema import PRIMARY_KEYS, canonical
+from anaquel.sources.collection import FORMAT, read_collection
 from anaquel.sources.tables import write_collection
 
 
@@ -108,8 +109,10 @@ def count_parents(tables: Mapping[str, DataFrame], mapping: Mapping[str, dict] =
 
 def count_written(spark: SparkSession, collections: Mapping[str, DataFrame], folder: str, fmt: str = "json") -> DataFrame:
     """Number of documents per collection, counted from what ``write_documents`` has written."""
-    written = {n: spark.read.schema(df.schema).format(fmt).load(f"{folder.rstrip('/')}/{n}") for n, df in collections.items()}
-    return count_documents(written)
+    root = folder.rstrip("/")
+    if fmt == FORMAT:
+        return count_documents({n: read_collection(spark, f"{root}/{n}", df.schema) for n, df in collections.items()})
+    return count_documents({n: spark.read.schema(df.schema).format(fmt).load(f"{root}/{n}") for n, df in collections.items()})
 
 
 def write_documents(collections: Mapping[str, DataFrame], folder: str, fmt: str = "json", **options) -> dict[str, int]:

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from anaquel.functions.predicates import strict_date, strict_int
 from anaquel.operators.constraints import MULTIPLICITY
+from anaquel.operators.links import bernoulli_links
 from anaquel.operators.numbering import number_rows
 from anaquel.schema import columns
 from anaquel.session import concurrently
@@ -50,7 +51,8 @@ class Migration:
 
     ``invalid`` says what becomes of a row whose date or rating cannot be converted: ``null`` loads
     the row without it, ``drop`` leaves the row to ``quarantine``, ``abort`` refuses the load.
-    ``links_per_loan`` draws so many simulated loan-book links per loan instead of reading the lists.
+    ``links_per_loan`` draws so many simulated loan-book links per loan instead of reading the lists; with
+    ``expected_links`` every loan and book are linked with the same probability, which gives so many on average.
     """
 
     def __init__(
@@ -59,12 +61,16 @@ class Migration:
         mode: str = COMPATIBLE,
         invalid: str = "null",
         links_per_loan: int | None = None,
+        expected_links: float | None = None,
     ):
+        if links_per_loan is not None and expected_links is not None:
+            raise ValueError("links are drawn by number or by probability, not by both")
         if mode not in (COMPATIBLE, STRICT):
             raise ValueError(f"unknown mode {mode}")
         if invalid not in ("null", "drop", "abort"):
             raise ValueError(f"unknown policy {invalid}")
         self.legacy, self.mode, self.invalid, self.links_per_loan = legacy, mode, invalid, links_per_loan
+        self.expected_links = expected_links
         self._built: dict[str, DataFrame] = {}
         self._staged: dict[str, DataFrame] = {}
         # A step is built once, by the first thread that asks; the others wait for it.
@@ -295,7 +301,7 @@ def prestamos(m: Migration) -> DataFrame:
         "mail": F.trim("correo_usuario"),
     }
     order = ["raw_id", "id_usuario", "fecha_salida", "estado"]
-    if m.links_per_loan is None:
+    if m.links_per_loan is None and m.expected_links is None:
         kept["libros_prestados"] = F.col("libros_prestados")
         order.append("libros_prestados")
     if m.strict:
@@ -312,8 +318,10 @@ def prestamos(m: Migration) -> DataFrame:
 def prestamo_libro(m: Migration) -> DataFrame:
     m.prepare("prestamos", "libros")
     loans = m.raw("prestamos")
-    if m.links_per_loan is not None:
+    if m.links_per_loan is not None or m.expected_links is not None:
         books = m.raw("libros").select(F.count(F.lit(1))).scalar()
+        if m.expected_links is not None:
+            return bernoulli_links(loans.select("id_prestamo"), books, m.expected_links)
         return simulated_links(loans.select("id_prestamo"), books, m.links_per_loan)
     lists = loans.select("id_prestamo", "libros_prestados")
     if "prestamos_crudos_paginas" in m.legacy:

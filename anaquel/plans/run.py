@@ -32,13 +32,14 @@ def run(
     mapping: Mapping[str, dict] = DEFAULT_MAPPING,
     copy_sources: bool = False,
     links_per_loan: int | None = None,
+    expected_links: float | None = None,
 ) -> DataFrame:
     """Run every stage into ``folder`` and return the number of documents per collection.
 
     A stage that fails ends the run; no stage works on the leftovers of an earlier run. The raw
     tables are read by several steps: ``copy_sources`` reads them once into the shared folder, which
-    is what a remote database wants. ``links_per_loan`` simulates the loan-book links, for raw tables
-    without lists of titles.
+    is what a remote database wants. ``links_per_loan`` or ``expected_links`` simulates the loan-book links, for
+    raw tables without lists of titles.
     """
     # What the steps stage is needed no longer when the results are written.
     with staging_area(spark):
@@ -50,7 +51,7 @@ def run(
 
         quality.write_log(quality.quality_report(legacy, "legacy", rules), f"{folder}/{LOG}", starts=True)
 
-        migration = elt.Migration(legacy, mode, invalid, links_per_loan)
+        migration = elt.Migration(legacy, mode, invalid, links_per_loan, expected_links)
         # The rules are counted, and the documents below, while they are written.
         migrated = migration.tables()
         observed = quality.ObservedReport(migrated, "normalizada", rules)

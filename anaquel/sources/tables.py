@@ -6,6 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from anaquel.sources.collection import FORMAT, replace_collection
+
 
 def read_files(spark: SparkSession, folder: str, name: str, fmt: str = "parquet", schema=None, **options) -> DataFrame:
     """Table ``name`` of a folder with one file or sub-folder per table."""
@@ -59,8 +61,12 @@ def write_collection(df: DataFrame, folder: str, name: str, fmt: str = "json", *
     """Replace the document collection ``name``. Fields that are null stay present, as null.
 
     Files go to ``folder``/``name``. With ``fmt="mongodb"`` (a connector the session has to bring)
-    ``folder`` is the database.
+    ``folder`` is the database. With ``fmt="coleccion"`` a failed export leaves the old documents
+    (see ``sources/collection.py``).
     """
+    if fmt == FORMAT:
+        replace_collection(df, f"{folder.rstrip('/')}/{name}")
+        return
     writer = df.write.format(fmt).mode("overwrite")
     if fmt == "mongodb":
         writer.options(database=folder, collection=name, **options).save()

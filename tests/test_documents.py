@@ -3,6 +3,7 @@ import json
 from collections import Counter
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from anaquel.operators.children import collect_children
@@ -115,3 +116,15 @@ def test_mapping_from_file(tables, tmp_path, rows):
     mapping = load_mapping(str(path))
     assert rows(documents.build_documents(tables, mapping)["u"]) == [(1,), (2,)]
     assert set(DEFAULT_MAPPING) == {"Libros", "Usuarios", "Prestamos", "Inventario"}
+
+
+def test_committed_collections(tables, spark, tmp_path, rows):
+    """The same documents and counts through the sink with commit, and the old ones after a failed export."""
+    collections = documents.build_documents(tables)
+    counts = {r.coleccion: r.documentos for r in documents.count_documents(collections).collect()}
+    for _ in range(2):
+        assert documents.write_documents(collections, str(tmp_path), "coleccion") == counts
+    broken = {"libros": collections["libros"].withColumn("titulo", F.raise_error(F.lit("broken")).cast("string"))}
+    with pytest.raises(PySparkException):
+        documents.write_documents(broken, str(tmp_path), "coleccion")
+    assert rows(documents.count_written(spark, collections, str(tmp_path), "coleccion")) == sorted(counts.items())
