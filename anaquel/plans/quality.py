@@ -69,6 +69,12 @@ def select_checks(
     return chosen
 
 
+def asks_for(table: str, column: str, context: str, rules: RuleSet = DEFAULT_RULES, kind: str | None = None) -> bool:
+    """Whether a rule of the context (and of one ``kind``, if given) reads a column, so that a source can do without it."""
+    named = [r for t, table_rules in rules.items() if canonical(t) == canonical(table) for r in table_rules]
+    return any(r.get("contexto") == context and r["columna"] == column and kind in (None, r["tipo_validacion"]) for r in named)
+
+
 def quality_report(
     tables: Mapping[str, DataFrame], context: str, rules: RuleSet = DEFAULT_RULES, kind: str | None = None
 ) -> DataFrame:

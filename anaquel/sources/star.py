@@ -116,22 +116,26 @@ def _title_pages(spark: SparkSession, folder: str, page: int) -> DataFrame:
     return collect_children(titled, "l_orderkey", "l_partkey", F.col("title"), "titles", page)
 
 
-def prestamos_crudos(spark: SparkSession, folder: str, page: int = PAGE) -> DataFrame:
-    """Raw loans from the orders, one row each, with the first page of its titles in one text."""
+def prestamos_crudos(spark: SparkSession, folder: str, page: int = PAGE, titles: bool = True) -> DataFrame:
+    """Raw loans from the orders, one row each, with the first page of its titles in one text.
+
+    Without ``titles`` that column is missing, and the lines are not read.
+    """
     orders = star_table(spark, folder, "orders")
     customer = star_table(spark, folder, "customer")
-    first = _title_pages(spark, folder, page).filter(F.col("parte") == 0)
-    return (
-        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(first, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        .select(
-            F.col("o_orderkey").cast("bigint").alias("id_prestamo"),
-            F.col("c_name").alias("nombre_usuario"),
-            _mail().alias("correo_usuario"),
-            F.array_join("titles", ", ").alias("libros_prestados"),
-            F.col("o_orderdate").cast("date").alias("fecha_salida"),
-            _status().alias("estado_prestamo"),
-        )
+    loans = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    listed = []
+    if titles:
+        first = _title_pages(spark, folder, page).filter(F.col("parte") == 0)
+        loans = loans.join(first, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        listed = [F.array_join("titles", ", ").alias("libros_prestados")]
+    return loans.select(
+        F.col("o_orderkey").cast("bigint").alias("id_prestamo"),
+        F.col("c_name").alias("nombre_usuario"),
+        _mail().alias("correo_usuario"),
+        *listed,
+        F.col("o_orderdate").cast("date").alias("fecha_salida"),
+        _status().alias("estado_prestamo"),
     )
 
 
@@ -185,9 +189,11 @@ def resenas_usuarios(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def legacy_tables(spark: SparkSession, folder: str, written: bool = False, page: int = PAGE) -> Mapping[str, DataFrame]:
+def legacy_tables(
+    spark: SparkSession, folder: str, written: bool = False, page: int = PAGE, titles: bool = True
+) -> Mapping[str, DataFrame]:
     """The raw tables. ``written`` loads the stock, which is grouped from the lines, when it is first
-    used; that pays for the migration, where two steps read it."""
+    used; that pays for the migration, where two steps read it. Without ``titles`` the loans come without their lists."""
 
     def stock() -> DataFrame:
         table = inventario_sedes(spark, folder)
@@ -196,7 +202,7 @@ def legacy_tables(spark: SparkSession, folder: str, written: bool = False, page:
     return LazyTables(
         {
             "biblioteca_data": lambda: biblioteca_data(spark, folder),
-            "prestamos_crudos": lambda: prestamos_crudos(spark, folder, page),
+            "prestamos_crudos": lambda: prestamos_crudos(spark, folder, page, titles),
             "prestamos_crudos_paginas": lambda: prestamos_crudos_paginas(spark, folder, page),
             "inventario_sedes": stock,
             "resenas_usuarios": lambda: resenas_usuarios(spark, folder),

@@ -1,7 +1,10 @@
+from pathlib import Path
+
 import pytest
 
 from anaquel.plans import quality
 from anaquel.plans.rules import DEFAULT_RULES
+from anaquel.sources.star import legacy_tables
 from anaquel.sources.synthetic import synthetic_legacy
 
 # The log of a run over 250 generated rows per table, legacy part.
@@ -107,3 +110,15 @@ def test_observed_report_is_the_counted_one(spark, tmp_path):
         observed.watch(name, df).write.parquet(str(tmp_path / name))
     assert sorted(observed.report(spark).collect()) == sorted(quality.quality_report(tables, "legacy").collect())
     assert observed.report(spark).count() == 5
+
+
+def test_titles_are_read_only_for_rules_on_them(spark):
+    """The plan of the rule on e-mails has no scan of the lines; that of the rule on lists has."""
+    folder = "/root/testdata/sf0.001"
+    if not Path(folder).exists():
+        pytest.skip("no test data")
+    assert quality.asks_for("Prestamos_Crudos", "libros_prestados", "legacy") and not quality.asks_for("Prestamos_Crudos", "libros_prestados", "normalizada")
+    for kind, lines in (("regex", False), ("multivalor", True)):
+        titles = quality.asks_for("prestamos_crudos", "libros_prestados", "legacy", kind=kind)
+        report = quality.quality_report(legacy_tables(spark, folder, titles=titles), "legacy", kind=kind)
+        assert ("lineitem" in "".join(report.inputFiles())) == lines == titles
