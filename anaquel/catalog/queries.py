@@ -38,12 +38,13 @@ def _library(build: Callable[[Mapping[str, DataFrame]], DataFrame]) -> Query:
     return lambda spark, folder: build(library_tables(spark, folder))
 
 
-def _migration(build: Callable[[elt.Migration], DataFrame], mode: str = elt.COMPATIBLE) -> Query:
-    return lambda spark, folder: build(elt.Migration(legacy_tables(spark, folder, written=True), mode))
+def _migration(build: Callable[[elt.Migration], DataFrame], mode: str = elt.COMPATIBLE, titles: bool = True) -> Query:
+    return lambda spark, folder: build(elt.Migration(legacy_tables(spark, folder, written=True, titles=titles), mode))
 
 
 def _step(table: str, mode: str = elt.COMPATIBLE) -> Query:
-    return _migration(lambda m: m.table(table), mode)
+    # Only the links of the loans read the lists of titles.
+    return _migration(lambda m: m.table(table), mode, titles=table == "prestamo_libro")
 
 
 # -- quality --------------------------------------------------------------------------------------
@@ -232,8 +233,8 @@ REGISTRY: dict[str, Query] = {
     **{f"elt_{t}": _step(t) for t in elt.STEPS},
     **{f"elt_estricto_{t}": _step(t, elt.STRICT) for t in elt.STEPS},
     "elt_enlaces_azar": _library(_random_links),
-    "elt_fanout": _migration(lambda m: m.fanout()),
-    "elt_cuarentena": _migration(lambda m: m.quarantine()),
+    "elt_fanout": _migration(lambda m: m.fanout(), titles=False),
+    "elt_cuarentena": _migration(lambda m: m.quarantine(), titles=False),
     "dq_tipo_desconocido": _unknown_kind,
     "chk_carga": _library(lambda t: load.violations(t)),
     "chk_pk": _migration(lambda m: constraints.primary_key_report(m.tables())),

@@ -6,32 +6,44 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PAGE = 100_000
-# Children of one parent are ranked in so many groups; a group of the hottest parent is one task's share.
+# Children of one parent are ranked in so many groups, a power of two; a group of the hottest parent is one task's share.
+# The number of a group is never null by its type, so that ranks and counts have the same plan up to their shuffle.
 GROUPS = 4096
 
 
 def collect_children(
-    links: DataFrame, parent: str, child: str, element: Column, list_column: str, page: int = PAGE
+    links: DataFrame,
+    parent: str,
+    child: str,
+    element: Column,
+    list_column: str,
+    page: int = PAGE,
+    children: DataFrame | None = None,
 ) -> DataFrame:
     """One list of ``element`` per parent and page: columns ``parent``, ``parte``, ``list_column``.
 
+    ``children`` has one row per ``child`` with what ``element`` reads; links to other children are left out.
+    Then only the keys are ranked: the ranks and the counts read one shuffle of them, and the rows of
+    ``children`` come after it.
+
     Every parent's children are ranked, and ``parte`` is the page of the rank: 0, 1, ... with ``page``
     children each but the last. So no row and no task holds an unbounded group and no child is lost.
     The rank is exact without a window over a parent: it goes by the group of the child's hash, then
     by ``child``, and the groups' counts give what comes before. A page's list is sorted.
     """
-    grouped = links.withColumn("_group", F.pmod(F.hash(child), F.lit(GROUPS)))
-    # At most GROUPS rows per parent.
+    keys = links if children is None else links.select(parent, child).join(children.select(child), child, "left_semi")
+    grouped = keys.withColumn("_group", F.hash(child).bitwiseAND(F.lit(GROUPS - 1)))
+    ranked = grouped.withColumn("_inside", F.row_number().over(Window.partitionBy(parent, "_group").orderBy(child)))
+    # At most GROUPS rows per parent. The largest rank is the count, and shares the shuffle of the ranks.
     before = (
-        grouped.groupBy(parent, "_group")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        ranked.groupBy(parent, "_group")
+        .agg(F.max("_inside").alias("_n"))
         .withColumn("_before", F.sum("_n").over(Window.partitionBy(parent).orderBy("_group")) - F.col("_n"))
         .drop("_n")
     )
-    inside = F.row_number().over(Window.partitionBy(parent, "_group").orderBy(child))
-    paged = (
-        grouped.withColumn("_inside", inside)
-        .join(before, [parent, "_group"])
-        .withColumn("parte", F.floor((F.col("_before") + F.col("_inside") - 1) / F.lit(page)).cast("int"))
+    paged = ranked.join(before, [parent, "_group"]).withColumn(
+        "parte", F.floor((F.col("_before") + F.col("_inside") - 1) / F.lit(page)).cast("int")
     )
+    if children is not None:
+        paged = paged.join(children, child)
     return paged.groupBy(parent, "parte").agg(F.sort_array(F.collect_list(element)).alias(list_column))

@@ -117,10 +117,11 @@ def register_reviews(requests: DataFrame, users: DataFrame, books: DataFrame, re
 
 def audit_log(loans: DataFrame, users: DataFrame, run_time: Column, log: DataFrame | None = None) -> DataFrame:
     """Log rows of all active loans, one time stamp per run, to append to the log."""
-    active = loans.filter(F.col("estado") == ACTIVE).join(users.select("id_usuario", "nombre"), "id_usuario")
-    numbered = rank_by_sequence(active, "id_prestamo", "_new")
+    active = loans.filter(F.col("estado") == ACTIVE).select("id_prestamo", "id_usuario", "fecha_salida")
+    # Names come after the numbering, which sorts and writes its rows.
+    numbered = rank_by_sequence(active.join(users.select("id_usuario"), "id_usuario", "left_semi"), "id_prestamo", "_new")
     start = last_id(log, "id_log") if log is not None else F.lit(0).cast("bigint")
-    return numbered.select(
+    return numbered.join(users.select("id_usuario", "nombre"), "id_usuario").select(
         (F.col("_new") + start).alias("id_log"),
         "id_prestamo",
         F.col("nombre").alias("usuario"),

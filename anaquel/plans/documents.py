@@ -71,7 +71,7 @@ def _children(
     child = PRIMARY_KEYS[source_name][0]
     links = tables[canonical(embedded["via"])].select(key, child)
     documents = source.select(child, _document(source, embedded["fields"]).alias("_child"))
-    return collect_children(links.join(documents, child), key, child, F.col("_child"), list_column, page)
+    return collect_children(links, key, child, F.col("_child"), list_column, page, documents)
 
 
 def build_documents(

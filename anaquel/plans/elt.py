@@ -301,9 +301,10 @@ def prestamos(m: Migration) -> DataFrame:
         "mail": F.trim("correo_usuario"),
     }
     order = ["raw_id", "id_usuario", "fecha_salida", "estado"]
-    if m.links_per_loan is None and m.expected_links is None:
-        kept["libros_prestados"] = F.col("libros_prestados")
-        order.append("libros_prestados")
+    if m.links_per_loan is None and m.expected_links is None and "libros_prestados" in raw.columns:
+        # Tells loans of one raw id apart; the list itself stays in the raw loan until its links are read.
+        kept["lista"] = F.xxhash64("libros_prestados")
+        order.append("lista")
     if m.strict:
         loans = _counted(raw, **kept, name=F.trim("nombre_usuario"))
         users = m.raw("usuarios")
@@ -323,11 +324,14 @@ def prestamo_libro(m: Migration) -> DataFrame:
         if m.expected_links is not None:
             return bernoulli_links(loans.select("id_prestamo"), books, m.expected_links)
         return simulated_links(loans.select("id_prestamo"), books, m.links_per_loan)
-    lists = loans.select("id_prestamo", "libros_prestados")
+    loans, raw_id = loans.select("raw_id", "lista", "id_prestamo"), F.col("id_prestamo").alias("raw_id")
+    listed = m.legacy["prestamos_crudos"].select(raw_id, F.xxhash64("libros_prestados").alias("lista"), "libros_prestados")
     if "prestamos_crudos_paginas" in m.legacy:
-        pages = m.legacy["prestamos_crudos_paginas"].select(F.col("id_prestamo").alias("raw_id"), "libros_prestados")
-        lists = lists.unionByName(loans.select("raw_id", "id_prestamo").join(pages, "raw_id").drop("raw_id"))
-    return listed_links(lists, _one_book_per_title(m) if m.strict else _titles(m))
+        pages = m.legacy["prestamos_crudos_paginas"].select(raw_id, "libros_prestados")
+        listed = listed.unionByName(loans.select("raw_id", "lista").distinct().join(pages, "raw_id"))
+    links = listed_links(listed, _one_book_per_title(m) if m.strict else _titles(m), "raw_id", "lista")
+    same = loans.raw_id.eqNullSafe(links.raw_id) & (loans.lista == links.lista)
+    return loans.join(links, same).select("id_prestamo", "id_libro")
 
 
 def simulated_links(loans: DataFrame, books: Column, links_per_loan: int) -> DataFrame:
@@ -349,11 +353,11 @@ def simulated_links(loans: DataFrame, books: Column, links_per_loan: int) -> Dat
     )
 
 
-def listed_links(loans: DataFrame, titles: DataFrame) -> DataFrame:
-    """The links a raw loan lists by title: columns ``id_prestamo``, ``libros_prestados``."""
+def listed_links(lists: DataFrame, titles: DataFrame, *key: str) -> DataFrame:
+    """The books that the lists in ``libros_prestados`` name by title: ``key`` and ``id_libro``, each pair once."""
     entry = F.explode(F.split("libros_prestados", f"\\Q{LIST_SEPARATOR}\\E"))
-    entries = loans.select("id_prestamo", entry.alias("entry")).select("id_prestamo", F.trim("entry").alias("title"))
-    return entries.join(titles, "title").select("id_prestamo", "id_libro").distinct()
+    entries = lists.select(*key, entry.alias("entry")).select(*key, F.trim("entry").alias("title"))
+    return entries.join(titles, "title").select(*key, "id_libro").distinct()
 
 
 # -- reviews and inventory ------------------------------------------------------------------------

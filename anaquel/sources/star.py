@@ -111,22 +111,23 @@ def biblioteca_data(spark: SparkSession, folder: str) -> DataFrame:
 def _title_pages(spark: SparkSession, folder: str, page: int) -> DataFrame:
     """The titles of each order's parts, in pages."""
     lines = star_table(spark, folder, "lineitem").select("l_orderkey", "l_partkey")
-    part = star_table(spark, folder, "part").select("p_partkey", _title().alias("title"))
-    titled = lines.distinct().join(part, F.col("l_partkey") == F.col("p_partkey"))
-    return collect_children(titled, "l_orderkey", "l_partkey", F.col("title"), "titles", page)
+    titles = star_table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), _title().alias("title"))
+    return collect_children(lines.distinct(), "l_orderkey", "l_partkey", F.col("title"), "titles", page, titles)
 
 
-def prestamos_crudos(spark: SparkSession, folder: str, page: int = PAGE, titles: bool = True) -> DataFrame:
+def prestamos_crudos(
+    spark: SparkSession, folder: str, page: int = PAGE, titles: bool = True, pages: DataFrame | None = None
+) -> DataFrame:
     """Raw loans from the orders, one row each, with the first page of its titles in one text.
 
-    Without ``titles`` that column is missing, and the lines are not read.
+    Without ``titles`` that column is missing, and the lines are not read. ``pages`` are the titles in pages, if they are written already.
     """
     orders = star_table(spark, folder, "orders")
     customer = star_table(spark, folder, "customer")
     loans = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     listed = []
     if titles:
-        first = _title_pages(spark, folder, page).filter(F.col("parte") == 0)
+        first = (_title_pages(spark, folder, page) if pages is None else pages).filter(F.col("parte") == 0)
         loans = loans.join(first, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         listed = [F.array_join("titles", ", ").alias("libros_prestados")]
     return loans.select(
@@ -139,9 +140,11 @@ def prestamos_crudos(spark: SparkSession, folder: str, page: int = PAGE, titles:
     )
 
 
-def prestamos_crudos_paginas(spark: SparkSession, folder: str, page: int = PAGE) -> DataFrame:
+def prestamos_crudos_paginas(
+    spark: SparkSession, folder: str, page: int = PAGE, pages: DataFrame | None = None
+) -> DataFrame:
     """The further pages of the titles of raw loans: ``id_prestamo``, ``parte`` from 1, ``libros_prestados``."""
-    later = _title_pages(spark, folder, page).filter(F.col("parte") > 0)
+    later = (_title_pages(spark, folder, page) if pages is None else pages).filter(F.col("parte") > 0)
     return later.select(
         F.col("l_orderkey").cast("bigint").alias("id_prestamo"), "parte", F.array_join("titles", ", ").alias("libros_prestados")
     )
@@ -192,8 +195,13 @@ def resenas_usuarios(spark: SparkSession, folder: str) -> DataFrame:
 def legacy_tables(
     spark: SparkSession, folder: str, written: bool = False, page: int = PAGE, titles: bool = True
 ) -> Mapping[str, DataFrame]:
-    """The raw tables. ``written`` loads the stock, which is grouped from the lines, when it is first
-    used; that pays for the migration, where two steps read it. Without ``titles`` the loans come without their lists."""
+    """The raw tables. ``written`` loads the stock and the lists of titles, which are grouped from the lines, when they are
+    first used; that pays for the migration, where several steps read them. Without ``titles`` the loans come without their lists."""
+    # Titles by page, for the loans and the table of further pages.
+    listed = LazyTables({"pages": lambda: stage(_title_pages(spark, folder, page), "title_pages")})
+
+    def pages() -> DataFrame | None:
+        return listed["pages"] if written and titles else None
 
     def stock() -> DataFrame:
         table = inventario_sedes(spark, folder)
@@ -202,8 +210,8 @@ def legacy_tables(
     return LazyTables(
         {
             "biblioteca_data": lambda: biblioteca_data(spark, folder),
-            "prestamos_crudos": lambda: prestamos_crudos(spark, folder, page, titles),
-            "prestamos_crudos_paginas": lambda: prestamos_crudos_paginas(spark, folder, page),
+            "prestamos_crudos": lambda: prestamos_crudos(spark, folder, page, titles, pages()),
+            "prestamos_crudos_paginas": lambda: prestamos_crudos_paginas(spark, folder, page, pages()),
             "inventario_sedes": stock,
             "resenas_usuarios": lambda: resenas_usuarios(spark, folder),
         }

@@ -82,6 +82,18 @@ def test_hot_parent_is_paged_without_loss(spark, factor):
     assert Counter((r.p, c) for r in got for c in r.l) == Counter(links)
 
 
+def test_children_without_a_row_take_no_place_and_links_are_read_once(spark, tmp_path):
+    spark.createDataFrame([(1, c) for c in range(300)] + [(2, 3), (2, 3), (3, 299)], "p BIGINT, c BIGINT").write.parquet(f"{tmp_path}/links")
+    known = spark.range(0, 300, 2).select(F.col("id").alias("c"), F.concat(F.lit("n"), "id").alias("name"), F.lit("x").alias("p"))
+    links = spark.read.parquet(f"{tmp_path}/links")
+    df = collect_children(links, "p", "c", F.col("name"), "l", page=100, children=known.drop("p"))
+    got = {(r.p, r.parte): r.l for r in df.collect()}
+    assert {k: len(v) for k, v in got.items()} == {(1, 0): 100, (1, 1): 50}
+    assert sorted(n for v in got.values() for n in v) == sorted(f"n{c}" for c in range(0, 300, 2))
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+
+
 def test_paged_documents(tables, spark, tmp_path):
     books = spark.createDataFrame([(i, f"t{i:02d}", DAY, 1) for i in range(1, 26)], NORMALISED["libros"])
     lines = spark.createDataFrame([(1, i) for i in range(1, 26)], NORMALISED["prestamo_libro"])

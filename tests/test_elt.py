@@ -141,6 +141,26 @@ def test_links_come_from_the_list_and_its_further_pages(legacy, rows, spark):
     assert Migration(raw, links_per_loan=3).table("prestamo_libro").count() > 0
 
 
+def test_loans_that_repeat_a_raw_id_keep_their_own_lists(legacy, rows):
+    lists = ["one", "two", "one,two", None, "one", ""]
+    raw = legacy(
+        books=[book(1, "one"), book(2, "two")],
+        loans=[(key, "Ana", "m@x.c", listed, DAY, "Activo") for key in (7, None) for listed in lists],
+    )
+    for mode in (COMPATIBLE, STRICT):
+        m = Migration(raw, mode)
+        loans, links = m.table("prestamos"), m.table("prestamo_libro")
+        per_loan = loans.join(links, "id_prestamo", "left").groupBy("id_prestamo").agg(F.sort_array(F.collect_list("id_libro")).alias("books"))
+        assert rows(loans, "id_prestamo") == [(i,) for i in range(1, 13)]
+        assert sorted(r.books for r in per_loan.collect()) == sorted(2 * [[1], [2], [1, 2], [], [1], []])
+
+
+def test_loans_without_lists_need_none(legacy, rows):
+    raw = legacy(loans=[(8, "Ana", "m@x.c", "b", DAY, "Activo"), (7, "Ana", "m@x.c", "a", DAY, "Activo")])
+    bare = {**raw, "prestamos_crudos": raw["prestamos_crudos"].drop("libros_prestados")}
+    assert rows(Migration(bare).table("prestamos")) == rows(Migration(raw).table("prestamos"))
+
+
 def test_page_size_changes_no_result(spark, rows):
     from anaquel.plans import quality
     from anaquel.sources.star import legacy_tables
