@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from anaquel.llm import centroids, decontam, divergence, line_dedup, minhash
+from anaquel.llm import centroids, decontam, divergence, line_dedup, minhash, sharding
 from anaquel.llm.bpe import op7_byte_bpe
 from anaquel.llm.centroids import op11_centroids
 from anaquel.llm.chat import op3_chat_format
@@ -31,4 +31,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """Those that SQL can express; the others are tested against brute force or the public libraries."""
-    return {"op5_decontamination": decontam.ORACLE, "op9_minhash": minhash.ORACLE, "op11_centroids": centroids.ORACLE, "op12_divergence": divergence.ORACLE, "op13_line_dedup": line_dedup.ORACLE}
+    return {"op5_decontamination": decontam.ORACLE, "op8_sharding": sharding.ORACLE, "op9_minhash": minhash.ORACLE, "op11_centroids": centroids.ORACLE, "op12_divergence": divergence.ORACLE, "op13_line_dedup": line_dedup.ORACLE}

@@ -97,3 +97,26 @@ def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return assign_shards(table(spark, folder, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"
     )
+
+
+# The checksum goes byte by byte through the remainders of its polynomial; the walk of a key is a recursion over its jumps.
+ORACLE = f"""
+WITH RECURSIVE remainders AS (
+    SELECT list(list_reduce([k] || range(8), lambda r, _: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END) ORDER BY k) AS steps
+    FROM range(256) t(k)),
+keys AS (SELECT DISTINCT doc_id FROM documents),
+walk AS (
+    SELECT doc_id, (coalesce(doc_id, 0)::HUGEINT + 18446744073709551616) % 18446744073709551616 AS key, 0::BIGINT AS jump FROM keys
+    UNION ALL
+    SELECT doc_id, drawn, floor((jump + 1) * (2147483648::DOUBLE / (drawn // 8589934592 + 1)::DOUBLE))::BIGINT
+    FROM (SELECT doc_id, jump, (key * {MULTIPLIER} + 1) % 18446744073709551616 AS drawn FROM walk WHERE jump <= {SHARDS})),
+placed AS (
+    SELECT doc_id, max(jump) FILTER (jump < {SHARDS})::INT AS shard, max(jump) FILTER (jump <= {SHARDS})::INT AS grown_shard
+    FROM walk GROUP BY doc_id),
+bytes AS (
+    SELECT doc_id, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT) AS b
+    FROM documents)
+SELECT b.doc_id, len(b) + 1 AS size,
+       xor(list_reduce([4294967295] || b, lambda r, x: xor(r // 256, steps[xor(r % 256, x) + 1])), 4294967295) AS text_crc32,
+       'key' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY b.doc_id NULLS FIRST) - 1 AS slot, grown_shard
+FROM bytes b JOIN placed p ON b.doc_id IS NOT DISTINCT FROM p.doc_id, remainders"""

@@ -1,9 +1,11 @@
 import zlib
 from collections import Counter
 
+import duckdb
+from pyarrow import parquet
 from pyspark.sql import functions as F
 
-from anaquel.llm.sharding import assign_shards, jumps, shard_of
+from anaquel.llm.sharding import ORACLE, assign_shards, jumps, shard_of
 
 
 def jump(key, buckets):
@@ -32,3 +34,17 @@ def test_slots_sizes_and_growth(spark):
     assert all(r.grown_shard in (r.shard, 8) and r.shard == jump(r.doc_id, 8) and r.grown_shard == jump(r.doc_id, 9) for r in rows)
     want = Counter((len(t.encode()) + 1, zlib.crc32(t.encode())) for t in (f"é{i}" for i in range(400)))
     assert Counter((r["size"], r.text_crc32) for r in rows) == want
+
+
+def test_sql_gives_the_same_shards(spark, edges, tmp_path):
+    """Ids that are null, negative or repeated; equal rows may take each other's slots."""
+    far = spark.createDataFrame([(-1, "x"), (-(1 << 63), ""), ((1 << 63) - 1, "ñ"), (2**40 + 7, "\n")], "doc_id bigint, text string")
+    docs = edges.select("doc_id", "text").unionByName(far)
+    parquet.write_table(docs.toArrow(), tmp_path / "documents.parquet")
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet')")
+    columns = "doc_id, size, text_crc32, shard, grown_shard"
+    want = connection.execute(f"SELECT {columns} FROM ({ORACLE})").fetchall()
+    assert Counter(want) == Counter(tuple(r) for r in assign_shards(docs).select(*columns.split(", ")).collect())
+    slots = connection.execute(f"SELECT shard, slot FROM ({ORACLE})").fetchall()
+    assert Counter(slots) == Counter((r.shard, r.slot) for r in assign_shards(docs).collect())
