@@ -38,12 +38,15 @@ _areas: list[list[str]] = []
 
 
 @contextmanager
-def staging_area(spark: SparkSession) -> Iterator[None]:
-    """Delete, at the end, the tables staged meanwhile, each by the path it was written to."""
+def staging_area(spark: SparkSession) -> Iterator[list[str]]:
+    """Delete, at the end, the tables staged meanwhile, each by the path it was written to.
+
+    The list of these paths is given; what is taken out of it stays.
+    """
     paths: list[str] = []
     _areas.append(paths)
     try:
-        yield
+        yield paths
     finally:
         _areas[:] = [area for area in _areas if area is not paths]
         jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
