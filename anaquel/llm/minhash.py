@@ -38,7 +38,7 @@ from anaquel.llm.common import rows_by_bytes, schema_of, table, with_arrays
 from anaquel.llm.components import components
 from anaquel.llm.words import NOT_SPACE, chain_hashes, find_words, mix, utf8, word_hashes
 from anaquel.operators.numbering import number_rows
-from anaquel.sources.staging import stage
+from anaquel.sources.staging import stage, staging_area
 
 SHINGLE = 5
 PERCENT = 75
@@ -206,7 +206,9 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     Of rows that repeat an id and a set one stays. A row without id goes if a row with one has its set, and
     of several such rows with a set one stays. Rows without words all stay.
     """
-    judged = stage(judge(docs, percent), "judged")
+    with staging_area(docs.sparkSession) as staged:
+        judged = stage(judge(docs, percent), "judged")
+        staged.pop()  # only this table is read from here on
     by_id = stage(judged.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.count_if("kept").alias("n_kept")), "kept_ids")
     single = docs.join(by_id.filter("doc_id is not null and n = 1 and n_kept = 1"), "doc_id", "left_semi")
     odd = by_id.filter("doc_id is null or n > 1 and n_kept > 0").select(F.col("doc_id").alias("odd_id"))

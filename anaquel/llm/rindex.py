@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from anaquel.llm.common import rows_by_bytes, schema_of, table, with_arrays
 from anaquel.llm.words import _BASE, _CODES_EXACT, mix, power_of, times_powers, utf8
-from anaquel.sources.staging import stage
+from anaquel.sources.staging import stage, staging_area
 
 LENGTH, GRAM = 100, 24
 PIECE = 1 << 20
@@ -363,7 +363,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, **limits) -> DataFrame
 
     A character that a cut goes through is dropped; null texts stay null.
     """
-    spans = stage(repeated_stretches(docs.select("doc_id", "text"), length, **limits), "stretches")
+    with staging_area(docs.sparkSession) as staged:
+        spans = stage(repeated_stretches(docs.select("doc_id", "text"), length, **limits), "stretches")
+        staged.pop()  # only this table is read from here on
     cut = _cut(docs.select("doc_id", "text", F.struct(*docs.columns).alias("row")), spans)
     left = F.when(F.col("text").isNull() | (F.col("n_removed") == 0), F.col("text")).otherwise(F.col("left"))
     own = {"text": left, "n_chars": F.when(F.col("n_removed") == 0, F.col("row")["n_chars"]).otherwise(F.length(left)).cast("bigint")} if "n_chars" in docs.columns else {"text": left}
