@@ -51,3 +51,15 @@ def test_violations_of_a_load(spark):
         ("clave foranea", "prestamos", "id_usuario"): 1,
         ("longitud", "prestamos", "estado"): 1,
     }
+
+
+def test_a_parent_row_is_one_row_of_the_grouping(spark, monkeypatch):
+    """Three references to one parent: its values are held once, not once a reference."""
+    references = [Reference(child, "id", "p") for child in ("a", "b", "c")]
+    tables = {name: spark.range(5).toDF("id") for name in ("p", "a", "b")} | {"c": spark.range(3, 9).toDF("id")}
+    met = []
+    union = constraints._union
+    monkeypatch.setattr(constraints, "_union", lambda frames: met.append(union(frames)) or met[0])
+    report = constraints.foreign_key_report(tables, references).select("tabla", "filas", "huerfanas").collect()
+    assert sorted(tuple(r) for r in report) == [("a", 5, 0), ("b", 5, 0), ("c", 6, 4)]
+    assert met[0].count() == 5 + 5 + 5 + 6
