@@ -94,6 +94,22 @@ def test_children_without_a_row_take_no_place_and_links_are_read_once(spark, tmp
     assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
 
 
+@pytest.mark.parametrize("page", [4, 100])
+def test_repeated_links_count_once_and_equal_elements_stay(spark, page):
+    links = spark.createDataFrame([(1, c % 9) for c in range(90)] + [(2, 3), (2, 3), (None, 5)], "p BIGINT, c BIGINT")
+    named = spark.createDataFrame([(c, f"n{c // 2}") for c in range(8)], "c BIGINT, name STRING")
+    got = collect_children(links, "p", "c", F.col("name"), "l", page, named, repeated=True).collect()
+    found = sorted((r.p, n) for r in got for n in r.l)
+    assert found == sorted([(1, f"n{c // 2}") for c in range(8)] + [(2, "n1")])
+    assert sorted((r.p, r.parte) for r in got) == ([(1, 0), (1, 1), (2, 0)] if page == 4 else [(1, 0), (2, 0)])
+
+
+def test_lists_of_one_page_need_no_ranks(spark):
+    links = spark.range(500).select((F.col("id") % 50).alias("p"), F.col("id").alias("c"))
+    plan = lambda page: collect_children(links, "p", "c", F.col("c"), "l", page)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan(100) and "Window" in plan(5)
+
+
 def test_paged_documents(tables, spark, tmp_path):
     books = spark.createDataFrame([(i, f"t{i:02d}", DAY, 1) for i in range(1, 26)], NORMALISED["libros"])
     lines = spark.createDataFrame([(1, i) for i in range(1, 26)], NORMALISED["prestamo_libro"])
