@@ -63,3 +63,18 @@ def test_a_parent_row_is_one_row_of_the_grouping(spark, monkeypatch):
     report = constraints.foreign_key_report(tables, references).select("tabla", "filas", "huerfanas").collect()
     assert sorted(tuple(r) for r in report) == [("a", 5, 0), ("b", 5, 0), ("c", 6, 4)]
     assert met[0].count() == 5 + 5 + 5 + 6
+
+
+def test_keys_of_a_branch_are_folded(spark, monkeypatch):
+    """All branches of a book are one row of the grouping; repeated and incomplete keys count as before."""
+    staged = []
+    monkeypatch.setattr(constraints, "stage", lambda df, name: staged.append(df) or df)
+    rows = [(sede, libro, 1) for sede in range(-3, 60) for libro in range(20)]
+    df = spark.createDataFrame(rows, "id_sede BIGINT, id_libro BIGINT, _n BIGINT")
+    row = constraints.primary_key_check(df, "inventario", ("id_sede", "id_libro")).first()
+    assert (row.filas, row.nulos, row.duplicados) == (1260, 0, 0)
+    assert staged[0].count() == 40  # negative ids are a block of their own
+    odd = [(5, 3, 1), (5, 3, 1), (6, 3, 1), (70, 3, 4), (None, 3, 2), (1, None, 1), (1, None, 1), (-1, 4, 1)]
+    odd = spark.createDataFrame(odd, df.schema)
+    row = constraints.primary_key_check(odd, "inventario", ("id_sede", "id_libro")).first()
+    assert (row.filas, row.nulos, row.duplicados) == (12, 4, 2)
