@@ -8,7 +8,7 @@ import pytest
 
 from anaquel.operators.constraints import MULTIPLICITY, foreign_key_report, primary_key_report
 from anaquel.plans.elt import COMPATIBLE, STRICT, InvalidValue, Migration, simulated_links
-from anaquel.plans import load
+from anaquel.plans import elt, load
 from anaquel.plans.load import LoadRefused, current_tables, publish
 from anaquel.schema import LEGACY, NORMALISED
 from anaquel.sources.synthetic import synthetic_legacy
@@ -262,3 +262,23 @@ def test_fanout_is_the_size_of_the_joins(spark):
     assert found["libro_categoria"] > 30
     with pytest.raises(ValueError):
         Migration(legacy, STRICT).fanout()
+
+
+def test_titles_travel_once_with_the_id_of_their_loan(legacy, rows, monkeypatch):
+    """Lists are cut after their loan took them, so links need no further join; copies of a raw loan hold one list."""
+    keys, read = [], []
+    cut = elt.listed_links
+    monkeypatch.setattr(elt, "listed_links", lambda lists, titles, *key: keys.append(key) or read.append(lists) or cut(lists, titles, *key))
+    loan = (1, "Ana", "a@x", "t1, t2, t1", dt.date(2024, 1, 1), "Activo")
+    m = Migration(legacy(books=[book(1, "t1"), book(2, "t2")], loans=[loan, loan]))
+    assert rows(m.table("prestamo_libro"), "id_prestamo", "id_libro") == [(1, 1), (1, 2), (2, 1), (2, 2)]
+    assert keys == [("id_prestamo",)] and read[0].count() == 2
+
+
+def test_small_lookups_are_written_before_they_are_joined(legacy, monkeypatch):
+    """A numbered table joins a local one, so its size is not known to a plan before it is written."""
+    staged = []
+    write = elt.stage
+    monkeypatch.setattr(elt, "stage", lambda df, name: staged.append(name) or write(df, name))
+    Migration(legacy(books=[book(1, "t")], stock=[("S", "one", "t", 5)])).table("inventario")
+    assert {"lookup_publishers", "lookup_branches"} <= set(staged)
