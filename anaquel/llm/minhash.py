@@ -47,7 +47,8 @@ PACKED = HASHES * 2 // 64
 # Five standard deviations of the two-bit estimate at the threshold.
 SLACK = 5 * (0.8125 * 0.1875 / HASHES) ** 0.5 / 0.75
 GROUP_BYTES = 2 << 20
-CHUNK = 1 << 12
+# Shingles hashed at a time: their values stay in the cache of a core.
+CHUNK = 1 << 8
 
 _RANDOM = np.random.default_rng(7)
 _A = _RANDOM.integers(0, 1 << 64, HASHES, dtype=np.uint64) | np.uint64(1)
@@ -99,8 +100,8 @@ def _reduce(queue: list[tuple[int, np.ndarray]], out: np.ndarray) -> None:
     starts = np.cumsum([0, *map(len, parts)])[:-1]
     values = np.concatenate(parts)[:, None] * _A
     values += _B
-    values >>= np.uint64(32)
-    least = np.minimum.reduceat(values.astype(np.uint32), starts, axis=0)
+    # The upper half of the smallest value is the smallest upper half.
+    least = (np.minimum.reduceat(values, starts, axis=0) >> np.uint64(32)).astype(np.uint32)
     for (row, _), low in zip(queue, least):
         np.minimum(out[row], low, out=out[row])
 

@@ -114,3 +114,11 @@ def test_components(spark, seed):
     nodes = {n for a, b in links if a != b for n in (a, b)}
     assert got == reachable([(a, b) for a, b in links if a != b], nodes)
     assert Counter(got.values())[1000] == 61
+
+
+def test_hashes_of_a_step_fit_the_cache_of_a_core():
+    """The values of a step are read three times; beyond a core's cache that costs three times the seconds."""
+    assert minhash.CHUNK * minhash.HASHES * 8 <= 1 << 20
+    own = np.sort(np.random.default_rng(3).integers(0, 1 << 64, 3 * minhash.CHUNK + 5, dtype=np.uint64))
+    hashed = (own[:, None] * minhash._A + minhash._B) >> np.uint64(32)
+    assert (minhash.minima([own, own[:0], own[:1]]) == np.stack([hashed.min(0), hashed[0] * 0 + 0xFFFFFFFF, hashed[0]])).all()
