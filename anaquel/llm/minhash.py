@@ -211,7 +211,9 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         judged = stage(judge(docs, percent), "judged")
         staged.pop()  # only this table is read from here on
     by_id = stage(judged.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.count_if("kept").alias("n_kept")), "kept_ids")
-    single = docs.join(by_id.filter("doc_id is not null and n = 1 and n_kept = 1"), "doc_id", "left_semi")
+    # By a shuffle at every size, as in full_sets: a broadcast would have to hold the ids of the corpus.
+    once = by_id.filter("doc_id is not null and n = 1 and n_kept = 1").hint("shuffle_merge")
+    single = docs.join(once, "doc_id", "left_semi")
     odd = by_id.filter("doc_id is null or n > 1 and n_kept > 0").select(F.col("doc_id").alias("odd_id"))
     names = docs.columns
 

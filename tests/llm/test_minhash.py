@@ -122,3 +122,10 @@ def test_hashes_of_a_step_fit_the_cache_of_a_core():
     own = np.sort(np.random.default_rng(3).integers(0, 1 << 64, 3 * minhash.CHUNK + 5, dtype=np.uint64))
     hashed = (own[:, None] * minhash._A + minhash._B) >> np.uint64(32)
     assert (minhash.minima([own, own[:0], own[:1]]) == np.stack([hashed.min(0), hashed[0] * 0 + 0xFFFFFFFF, hashed[0]])).all()
+
+
+def test_kept_documents_meet_their_ids_over_a_shuffle_at_every_size(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, "g h"), (None, "i j")], "doc_id BIGINT, text STRING")
+    kept = minhash.one_of_each(docs)
+    assert "rightHint=(strategy=merge)" in kept._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.text for r in kept.collect()) == ["a b c d e f", "g h", "i j"]
