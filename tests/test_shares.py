@@ -5,6 +5,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from anaquel.session import tune
 from anaquel.sources import star
 from anaquel.sources.staging import staging_area
 
@@ -60,3 +61,14 @@ def test_small_row_groups_are_read_where_they_are(spark, folder, monkeypatch):
     monkeypatch.setattr(star, "ROWS_OF_A_TASK", ROWS)
     own = _session(spark)
     assert [f.split("/")[-1] for f in star.star_table(own, folder, "lineitem").inputFiles()] == ["lineitem.parquet"]
+
+
+def test_a_million_rows_of_a_row_group_are_more_than_a_task_reads(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(star, "LARGE_TABLE", 1000)
+    keys = pa.array(range(1 << 20), pa.int64())
+    events = {"event_id": keys, "user_id": keys, "event_type": pa.array(["view"] * len(keys)), "value": pa.array(range(len(keys)), pa.float64())}
+    pq.write_table(pa.table(events), tmp_path / "events.parquet", row_group_size=len(keys))
+    own = tune(spark)
+    table = star.star_table(own, str(tmp_path), "events")
+    assert _most(table) <= star.ROWS_OF_A_TASK < len(keys)
+    assert table.agg(F.count(F.lit(1)), F.sum("event_id"), F.sum("value")).first()[:2] == (len(keys), len(keys) * (len(keys) - 1) // 2)
